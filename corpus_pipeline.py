@@ -3,16 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from helioquery.llm.langid import UNDETERMINED, identify
+from helioquery.llm.linededup import dedup_lines
+from helioquery.llm.packing import pack
+from helioquery.llm.pii import replace_pii
+from helioquery.llm.queries import PII_KEY, language_model, spec
 from helioquery.llm.simhash import drop_near_copies
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Documents whose best language gets less than this score go, as do those without a letter.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model tells stay."""
+    told = identify(docs, language_model(docs))
+    bad = told.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < MIN_LANGUAGE_SCORE)).select(F.col("doc_id").alias("bad"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad"]), "left_anti").select(COLUMNS)
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stand earlier in the corpus go."""
+    return _with_length(dedup_lines(docs))
+
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return drop_near_copies(docs)
+    return drop_near_copies(docs).select(COLUMNS)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets become surrogates."""
+    return _with_length(replace_pii(docs, PII_KEY))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of what is left, in full sequences."""
+    return pack(docs, spec("byte_bpe_50k.json"))
 
 
-STAGES = [("simhash near-dedup", near_copies)]
+STAGES = [("language ID", language), ("line dedup", lines), ("SimHash near-dedup", near_copies), ("PII", pii), ("packing", packing)]
+#: Language identification and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import mmap
+import os
 import tempfile
 from collections.abc import Iterator
 
@@ -52,3 +54,12 @@ def text_groups(column: pa.ChunkedArray | pa.Array, limit: int = GROUP_CHARS) ->
         size += len(text or "")
     if held:
         yield start, held
+
+
+def mapped(blob: bytes) -> mmap.mmap:
+    """A read-only memory map of ``blob``; it lies in memory, not in a folder of the machine."""
+    fd = os.memfd_create("model")
+    with os.fdopen(fd, "wb") as f:
+        f.write(blob)
+        f.flush()
+        return mmap.mmap(fd, len(blob), access=mmap.ACCESS_READ)
