@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,19 +60,20 @@ def canonical(kind: Column, match: Column) -> Column:
     return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(match, r"\D", "")).when(kind == "email", F.lower(match)).when(kind.startswith("name_"), name).otherwise(match)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often ``use`` names it, in a lambda too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _bytes(seed: Column, n: Column) -> Column:
     """At least n keyed numbers of 0 to 255."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor(n / 32).cast("int")), lambda b: F.sha2(F.concat_ws("|", seed, b.cast("string")), 256))
-    stream = F.array_join(blocks, "")
-    return F.transform(F.sequence(F.lit(0), n), lambda i: F.conv(F.substring(stream, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    return _let(F.array_join(blocks, ""), lambda stream: F.transform(F.sequence(F.lit(0), n), lambda i: F.conv(F.substring(stream, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
 
 
 def _letters(text: Column, seed: Column) -> Column:
     """Each character replaced by one of its kind: digit, hex letter in hex words, small or capital letter of its script."""
-    drawn, hexa = _bytes(seed, F.length(text)), text.rlike("^[0-9a-f]+$")
-
-    def one(c: Column, i: Column) -> Column:
-        b = F.get(drawn, i)
+    def one(c: Column, b: Column, hexa: Column) -> Column:
         return (
             F.when(c.rlike("[0-9]"), F.chr(48 + b % 10))
             .when(hexa, F.chr(97 + b % 6))
@@ -82,7 +85,9 @@ def _letters(text: Column, seed: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), one), "")
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    drawn = F.slice(_bytes(seed, F.length(text)), F.lit(1), F.size(letters))
+    return _let(text.rlike("^[0-9a-f]+$"), lambda hexa: F.array_join(F.zip_with(letters, drawn, lambda c, b: one(c, b, hexa)), ""))
 
 
 def _luhn(digits: Column) -> Column:
@@ -100,7 +105,10 @@ def _luhn(digits: Column) -> Column:
 def surrogate(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     """The replacement of a canonical entity, a function of key, type, entity and attempt alone."""
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
-    drawn = _letters(canon, seed)
+    return _let(_letters(canon, seed), lambda drawn: _surrogate(kind, canon, key, attempt, seed, drawn))
+
+
+def _surrogate(kind: Column, canon: Column, key: str, attempt: Column, seed: Column, drawn: Column) -> Column:
     n = F.length(canon)
     place = F.lit(1)
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
@@ -112,12 +120,10 @@ def surrogate(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     body = F.concat(F.substring(canon, place, F.lit(1)), F.substring(drawn, F.lit(2), n - 2))
     check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10 + F.when(_luhn(canon) % 10 == 0, 0).otherwise(1)) % 10
     card = F.concat(body, check.cast("string"))
-    octets = _bytes(seed, F.lit(4))
-    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.get(octets, i) % 254 + 1).cast("string")), ".")
+    ip = F.array_join(F.transform(F.slice(_bytes(seed, F.lit(4)), 1, 4), lambda b: (b % 254 + 1).cast("string")), ".")
     ip = F.when(canon.rlike(r"^(10|127)\."), F.concat(F.substring_index(canon, ".", 1), F.lit("."), F.substring_index(ip, ".", -3))).when(canon.startswith("192.168."), F.concat(F.lit("192.168."), F.substring_index(ip, ".", -2))).otherwise(ip)
     access = F.concat(F.substring(canon, place, F.lit(4)), F.substring(drawn, F.lit(5), n))
     script = F.when(canon.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    parts = _bytes(seed, F.lit(16))
 
     def pick(table: dict[str, list[str]], which: Column, i: Column) -> Column:
         out = None
@@ -127,7 +133,7 @@ def surrogate(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
         return out
 
     # more syllables after each fourth attempt, so that names never run out
-    family = F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), F.least(F.lit(15), 3 + F.floor(attempt / 4).cast("int"))), lambda i: pick(SYLLABLES, script, F.get(parts, i))), ""))
+    family = F.initcap(F.array_join(F.transform(F.slice(_bytes(seed, F.lit(16)), F.lit(1), F.least(F.lit(15), 3 + F.floor(attempt / 4).cast("int"))), lambda b: pick(SYLLABLES, script, b)), ""))
     given = pick(GIVEN, F.concat(script, F.substring(kind, F.lit(5), F.lit(2))), F.get(_bytes(F.concat_ws("|", F.lit(key), kind, F.substring_index(canon, " ", 1)), F.lit(1)), F.lit(0)))
     name = F.when(canon.contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family)
     return F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip).when(kind == "access_key", access).when(kind.startswith("name_"), name).otherwise(drawn)
