@@ -37,15 +37,20 @@ def _met(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
 
 
-def earlier_neighbours(lines: DataFrame) -> DataFrame:
-    """(line, first) of those distinct lines that have a line within one edit whose first place is earlier.
+def with_suspects(lines: DataFrame) -> DataFrame:
+    """(h, first, line) of distinct lines, where the line is kept only if a masked copy of it meets another line's.
 
-    :param lines: (line, first: an orderable place), one row per distinct line.
+    :param lines: (line, first: an orderable place), one row per distinct line. h names the line; it is made of both
+        columns, so that all uses read the same shuffle of the distinct lines.
     """
-    hashed = lines.withColumn("h", F.xxhash64("line"))
+    hashed = lines.withColumn("h", F.xxhash64("first", "line"))
     coarse = _masked(hashed, COARSE, "h")
-    some = coarse.join(_met(coarse), "key", "left_semi").select("h").distinct()
-    near = durable(hashed.join(some, "h", "left_semi"))
+    some = coarse.join(_met(coarse), "key", "left_semi").select("h").distinct().withColumn("some", F.lit(True))
+    return durable(hashed.join(some, "h", "left").select("h", "first", F.when(F.col("some"), F.col("line")).alias("line")))
+
+
+def earlier_neighbours(near: DataFrame) -> DataFrame:
+    """(first) of those lines of ``with_suspects`` that have a line within one edit whose first place is earlier."""
     fine = _masked(near, FINE, "h", "line", "first")
     met = _met(_masked(near, FINE, "h"))
     parts = fine.join(met, "key", "left_semi")
@@ -53,7 +58,7 @@ def earlier_neighbours(lines: DataFrame) -> DataFrame:
     place = parts.where("end > begin").withColumn("at", F.explode(F.sequence(F.col("begin") + 1, F.col("end")))).select("h", "line", "first", "at").distinct()
     rest = F.concat(F.substring("line", F.lit(1), F.col("at") - 1), F.substring("line", F.col("at") + 1, F.length("line")))
     varied = place.select("h", "first", F.xxhash64(rest).alias("k1"), F.hash(rest).alias("k2"), "at")
-    plain = near.select("h", "first", F.col("h").alias("k1"), F.hash("line").alias("k2"), F.lit(0).alias("at"))
+    plain = near.select("h", "first", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), F.lit(0).alias("at"))
     both = varied.union(plain)
     # equal rests of one place: a substitution; the earliest line of each group stands for it, so no pairs are made
     swapped = varied.groupBy("k1", "k2", "at").agg(F.min("first").alias("other"))
@@ -66,15 +71,15 @@ def earlier_neighbours(lines: DataFrame) -> DataFrame:
     others = near.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
     close = F.levenshtein(F.col("line"), F.col("other_line"), 1)
     verified = claims.join(texts, "h").join(others, "other").where((close >= 0) & (close <= 1))
-    return verified.select("line", "first").distinct()
+    return verified.select("first").distinct()
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, line_no) of every line that stays: the first of equal lines, unless a near line stands earlier still."""
     split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
     lines = split.select("id", "line_no", normal(F.col("raw")).alias("line")).where("line <> ''")
-    firsts = lines.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
-    gone = earlier_neighbours(firsts).select(F.col("first").alias("gone"))
+    firsts = with_suspects(lines.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first")))
+    gone = earlier_neighbours(firsts.where("line is not null")).select(F.col("first").alias("gone"))
     return firsts.join(gone, firsts["first"] == gone["gone"], "left_anti").select("first.id", "first.line_no")
 
 
