@@ -23,6 +23,8 @@ LEXICON = 32_768
 #: Longest word of the lexicon, in bytes.
 LONGEST = 64
 MARK = "</w>"
+#: Chunks that a worker remembers; beyond that it starts anew.
+REMEMBERED = 400_000
 
 
 class Vocabulary:
@@ -185,6 +187,8 @@ class WordBPE:
         library = Tokenizer.from_str(spec)
         self.normal, self.cut = library.normalizer, library.pre_tokenizer
         self.letters = byte_letters()
+        self.known: dict[str, int] = {}
+        self.size, self.spelled, self.decoded = [], [], []
         self.special = re.compile("|".join(map(re.escape, sorted(self.vocab.special, key=len, reverse=True))) or r"(?!)")
 
     def words(self, chunk: str) -> list[bytes]:
@@ -206,26 +210,17 @@ class WordBPE:
         texts = ["" if t is None else t for t in texts]
         split = [self._special(t) for t in texts]
         found = SpaceWords([part for parts in split for part, _ in parts])
-        own = [self.words(c) for c in found.values]
-        distinct = list(dict.fromkeys(w for ws in own for w in ws))
-        ids = dict(zip(distinct, self.encode_words(distinct)))
-        name = self.vocab.names
-        size, spelled, decoded = [], [], []
-        for ws in own:
-            flat = [i for w in ws for i in ids[w]]
-            size.append(len(flat))
-            spelled.append(" ".join(map(str, flat)))
-            decoded.append(" ".join([name[i] for i in flat]))
-        size = np.array([*size, 0])
-        full = not any(n == 0 for n in size[:-1].tolist())
-        codes, at, part = found.codes.tolist(), 0, 0
+        number = self._learned(found.values)
+        size, spelled, decoded = self.size, self.spelled, self.decoded
+        full = all(size[k] for k in number)
+        codes, at, part = np.array(number, dtype=np.int64)[found.codes].tolist(), 0, 0
         for parts in split:
             count, left, right = 0, [], []
             for _, special in parts:
                 stop = int(found.ends[part])
                 here = codes[at:stop] if full else [c for c in codes[at:stop] if size[c]]
                 at, part = stop, part + 1
-                count += int(size[here].sum()) if here else 0
+                count += sum([size[c] for c in here])
                 left += [spelled[c] for c in here]
                 right += [decoded[c] for c in here]
                 if special:
@@ -234,6 +229,24 @@ class WordBPE:
                     right.append(special)
             yield count, " ".join(left), " ".join(right)
 
+    def _learned(self, chunks: list[str]) -> list[int]:
+        """The place of each chunk's count, decimal ids and decoded text; chunks are worked out once while they are remembered."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+            self.size, self.spelled, self.decoded = [], [], []
+        missing = [c for c in chunks if c not in known]
+        own = [self.words(c) for c in missing]
+        distinct = list(dict.fromkeys(w for ws in own for w in ws))
+        ids, name = dict(zip(distinct, self.encode_words(distinct))), self.vocab.names
+        for chunk, ws in zip(missing, own):
+            flat = [i for w in ws for i in ids[w]]
+            known[chunk] = len(self.size)
+            self.size.append(len(flat))
+            self.spelled.append(" ".join(map(str, flat)))
+            self.decoded.append(" ".join([name[i] for i in flat]))
+        return [known[c] for c in chunks]
+
     def _special(self, text: str) -> list[tuple[str, str]]:
         """The text's parts, each with the special token that follows it."""
         if "<|" not in text:
