@@ -19,7 +19,10 @@ COARSE, FINE = 2, 16
 
 def normal(line: Column) -> Column:
     """Lines are compared in lower case, with runs of ASCII white space as one space and none at the ends."""
-    return F.trim(F.lower(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
+    odd = line.contains("  ")
+    for c in "\t\x0b\f\r":
+        odd = odd | line.contains(c)
+    return F.trim(F.lower(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)))
 
 
 def _masked(lines: DataFrame, segments: int, *keep: str) -> DataFrame:
