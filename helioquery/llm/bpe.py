@@ -51,11 +51,9 @@ class Vocabulary:
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         by_size = np.argsort(sizes, kind="stable")
         at = 0
-        while at < len(words):  # words of like length together, and a bounded number of cells
-            stop = at + 1
-            most = max(16, 2 * int(sizes[by_size[at]]))
-            while stop < len(words) and sizes[by_size[stop]] <= most and (stop - at) * most < 1_000_000:
-                stop += 1
+        while at < len(words):  # words of one length together, and a bounded number of cells
+            size = int(sizes[by_size[at]])
+            stop = min(int(np.searchsorted(sizes[by_size], size, side="right")), at + max(1, 1_000_000 // size))
             some = by_size[at:stop]
             for k, ids in zip(some.tolist(), self._merge([words[k] for k in some], sizes[some])):
                 out[k] = ids
@@ -73,8 +71,11 @@ class Vocabulary:
         live, never = np.arange(len(words)), len(self.pairs)
         while len(live):
             now = ids[live]
-            pair = np.where((now[:, :-1] >= 0) & (now[:, 1:] >= 0), now[:, :-1] << 32 | now[:, 1:], -1)
-            place = np.minimum(np.searchsorted(self.pairs, pair), never - 1)
+            now = now[:, : max(2, int((now >= 0).sum(axis=1).max()) + 1)]  # one cell past the longest
+            pair = np.where(now[:, 1:] >= 0, now[:, :-1] << 32 | now[:, 1:], -1)
+            place = np.zeros(pair.shape, dtype=np.int64)
+            real = pair >= 0
+            place[real] = np.minimum(np.searchsorted(self.pairs, pair[real]), never - 1)
             rank = np.where(self.pairs[place] == pair, self.rank[place], never)
             best = rank.min(axis=1)
             go = best < never
@@ -91,7 +92,8 @@ class Vocabulary:
             packed = np.full_like(now, -1)
             r, c = np.nonzero(keep)
             packed[r, (np.cumsum(keep, axis=1) - 1)[r, c]] = now[r, c]
-            ids[live] = packed
+            ids[live] = -1
+            ids[live, : packed.shape[1]] = packed
         return [one[:n].tolist() for one, n in zip(ids, (ids >= 0).sum(axis=1))]
 
 
