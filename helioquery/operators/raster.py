@@ -104,7 +104,7 @@ def _consensus(x: np.ndarray, z: np.ndarray, seed: int, trials: int = 100) -> np
     coef = np.linalg.solve(m[ok], z[picks[ok]][:, :, None])[:, :, 0]
     off = np.abs(coef[:, :2] @ x.T + coef[:, 2:] - z)
     hits = off <= K.RESIDUAL_M
-    score = hits.sum(axis=1) - (off * hits).sum(axis=1) / (n * K.RESIDUAL_M + 1)
+    score = np.maximum(0, 1 - (off / K.RESIDUAL_M) ** 2).sum(axis=1)  # near points count more, so a ridge doesn't tilt a facet
     return hits[int(np.argmax(score))]
 
 
