@@ -23,6 +23,8 @@ LEXICON = 32_768
 #: Longest word of the lexicon, in bytes.
 LONGEST = 64
 MARK = "</w>"
+#: Marks that end many words; a run of them is one word of its own, whatever stands before.
+PLAIN_MARKS = ".,;:!?"
 #: Chunks that a worker remembers; beyond that it starts anew.
 REMEMBERED = 400_000
 
@@ -190,13 +192,18 @@ class WordBPE:
         self.normal, self.cut = library.normalizer, library.pre_tokenizer
         self.letters = byte_letters()
         self.known: dict[str, int] = {}
+        self.word_ids: dict[bytes, list[int]] = {}
         self.size, self.spelled, self.decoded = [], [], []
         self.special = re.compile("|".join(map(re.escape, sorted(self.vocab.special, key=len, reverse=True))) or r"(?!)")
 
     def words(self, chunk: str) -> list[bytes]:
         """The words of a chunk without white space, as the file's normalizer and pre-tokenizer make them."""
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower().encode()]
+        core = chunk.rstrip(PLAIN_MARKS)
+        if not core:
+            return [chunk.encode()]
+        if core.isalpha() and max(core) < "\u0100":  # Latin-1 letters: composed already, and each has one lower case
+            word = core.lower().encode()
+            return [word] if len(core) == len(chunk) else [word, chunk[len(core) :].encode()]
         found = self.cut.pre_tokenize_str(self.normal.normalize_str(chunk))
         return [bytes(self.letters[c] for c in word) for word, _ in found]
 
@@ -236,11 +243,13 @@ class WordBPE:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
+            self.word_ids.clear()
             self.size, self.spelled, self.decoded = [], [], []
         missing = [c for c in chunks if c not in known]
         own = [self.words(c) for c in missing]
-        distinct = list(dict.fromkeys(w for ws in own for w in ws))
-        ids, name = dict(zip(distinct, self.encode_words(distinct))), self.vocab.names
+        ids, name = self.word_ids, self.vocab.names
+        distinct = list(dict.fromkeys(w for ws in own for w in ws if w not in ids))
+        ids.update(zip(distinct, self.encode_words(distinct)))
         for chunk, ws in zip(missing, own):
             flat = [i for w in ws for i in ids[w]]
             known[chunk] = len(self.size)
