@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .fixtures import fixture, with_views
 from .functions import rules
-from .operators import areas, checks, raster, scoring
+from .operators import areas, checks, raster, scoring, solar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -408,3 +408,13 @@ def q_roof_web(spark, sf):
 @query("select building_id, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][cast(round(aspect_deg / 45) as int) % 8 + 1] as point from buildings", "buildings")
 def q_compass(spark, sf):
     return fixture(spark, sf, "buildings").select("building_id", rules.compass(F.col("aspect_deg")).alias("point"))
+
+
+@query()
+def q_irradiance_day(spark, sf):
+    return solar.irradiance(fixture(spark, sf, "pixels"), res=2.0)
+
+
+@query()
+def q_shading_loss(spark, sf):
+    return solar.shading_loss(solar.irradiance(fixture(spark, sf, "pixels"), res=2.0))
