@@ -72,7 +72,7 @@ def close_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def near(values: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            return np.bitwise_count(values[i] ^ values[j]) <= max_bits
+            return np.bitwise_count((values[i] ^ values[j]).view(np.uint64)) <= max_bits  # unsigned: a sign bit counts too
 
         yield from spanning_links(batches, ["key", "a", "b"], "fp", near)
 

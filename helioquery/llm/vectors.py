@@ -120,7 +120,7 @@ def _suspects(signed: DataFrame, bits: int, tables: int, limit: int) -> DataFram
             for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 if hi - lo < 2:
                     continue
-                some, seen = sketch[lo:hi], None
+                some, seen = sketch[lo:hi].view(np.uint64), None  # bits of signed numbers are counted without sign
                 for i in range(0, hi - lo, 256):
                     near = np.bitwise_count(some[i : i + 256, None] ^ some[None, i:]) <= limit
                     if near.sum() == len(near):  # each is near itself alone

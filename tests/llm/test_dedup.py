@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from helioquery.llm.components import connected_components
 from helioquery.llm.simhash import drop_near_copies, fingerprint, simhash_components
+from helioquery.llm.simhash import close_links
 from helioquery.llm.vectors import embedding_components
 
 SF = "/root/testdata/sf0.01"
@@ -105,3 +106,11 @@ def test_embeddings_large_group_and_odd_rows(spark):
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_components(df).collect()}
     assert got == brute_vectors(rows)
     assert embedding_components(df.limit(0)).count() == 0
+
+
+def test_simhash_counts_the_top_bit(spark):
+    base = 0x0123456789ABCDEF
+    marks = [base, base ^ (1 << 63 | 1 << 5 | 1 << 40), base ^ 0xFFFF0000FFFF0000]
+    fps = [(int(np.uint64(x).astype(np.int64)),) for x in marks]
+    got = [tuple(sorted(r)) for r in close_links(spark.createDataFrame(fps, "fp long")).collect()]
+    assert set(got) == {tuple(sorted((fps[0][0], fps[1][0])))}
