@@ -104,6 +104,39 @@ def transverse_mercator(lon: Column, lat: Column, lon0: float = -75.0, k0: float
     return k0 * radius * x + east, k0 * radius * y
 
 
+def transverse_mercator_inverse(x: Column, y: Column, lon0: float = -75.0, k0: float = 0.9996, east: float = 500000.0) -> tuple[Column, Column]:
+    """Longitude and latitude of an easting and northing, by the published inverse series of the same order."""
+    a, f = 6378137.0, 1 / 298.257222101
+    n = f / (2 - f)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
+    beta = (
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360 - 81 * n**5 / 512 + 96199 * n**6 / 604800,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440 + 46 * n**5 / 105 - 1118711 * n**6 / 3870720,
+        17 * n**3 / 480 - 37 * n**4 / 840 - 209 * n**5 / 4480 + 5569 * n**6 / 90720,
+        4397 * n**4 / 161280 - 11 * n**5 / 504 - 830251 * n**6 / 7257600,
+        4583 * n**5 / 161280 - 108847 * n**6 / 3991680,
+        20648693 * n**6 / 638668800,
+    )
+    delta = (
+        2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45 + 26 * n**5 / 45 - 2854 * n**6 / 675,
+        7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45 + 2704 * n**5 / 315 + 2323 * n**6 / 945,
+        56 * n**3 / 15 - 136 * n**4 / 35 - 1262 * n**5 / 105 + 73814 * n**6 / 2835,
+        4279 * n**4 / 630 - 332 * n**5 / 35 - 399572 * n**6 / 14175,
+        4174 * n**5 / 315 - 144838 * n**6 / 6237,
+        601676 * n**6 / 22275,
+    )
+    xi0, eta0 = y / (k0 * radius), (x - east) / (k0 * radius)
+    xi, eta = xi0, eta0
+    for j, c in enumerate(beta, 1):
+        xi = xi - c * F.sin(2 * j * xi0) * F.cosh(2 * j * eta0)
+        eta = eta - c * F.cos(2 * j * xi0) * F.sinh(2 * j * eta0)
+    chi = F.asin(F.sin(xi) / F.cosh(eta))
+    lat = chi
+    for j, c in enumerate(delta, 1):
+        lat = lat + c * F.sin(2 * j * chi)
+    return lon0 + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(lat)
+
+
 def ring_area(ring: Column) -> Column:
     """Unsigned shoelace area of a closed ring array<struct<x,y>>."""
     parts = F.zip_with(F.slice(ring, F.lit(1), F.size(ring) - 1), F.slice(ring, F.lit(2), F.size(ring) - 1), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .fixtures import fixture, with_views
 from .functions import rules
-from .operators import areas, checks, raster, scoring, solar
+from .operators import areas, checks, maps, raster, scoring, solar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -418,3 +418,75 @@ def q_irradiance_day(spark, sf):
 @query()
 def q_shading_loss(spark, sf):
     return solar.shading_loss(solar.irradiance(fixture(spark, sf, "pixels"), res=2.0))
+
+
+@query(", l as (select r, c, z, 1 as ord from pixels union all select r, c, case when c % 3 = 0 then null else z + 1 end, 0 from pixels where r % 2 = 0) select r, c, arg_min(z, ord) filter (where z is not null) as z from l group by 1, 2", "pixels")
+def q_mosaic(spark, sf):
+    p = fixture(spark, sf, "pixels")
+    first = p.where("r % 2 = 0").select("r", "c", F.when(F.col("c") % 3 != 0, F.col("z") + 1).alias("z"), F.lit(0).alias("ord"))
+    return maps.mosaic(p.withColumn("ord", F.lit(1)).unionByName(first))
+
+
+@query(""", t as (select r as i, c as j, r * 0.75e0 + 0.25e0 as fr, c * 0.6e0 + 0.1e0 as fc from pixels),
+n as (select i, j, floor(fr) + dr as r, floor(fc) + dc as c, (case dr when 0 then 1 - (fr - floor(fr)) else fr - floor(fr) end) * (case dc when 0 then 1 - (fc - floor(fc)) else fc - floor(fc) end) as w
+ from t, (values (0), (1)) a(dr), (values (0), (1)) b(dc))
+select i, j, round(sum(w * z) / nullif(sum(w) filter (where z is not null), 0), 6) as z from n left join pixels p on n.r = p.r and n.c = p.c group by 1, 2""", "pixels")
+def q_resample_bilinear(spark, sf):
+    p = fixture(spark, sf, "pixels")
+    places = p.select(F.col("r").alias("i"), F.col("c").alias("j"), (F.col("r") * 0.75 + 0.25).alias("fr"), (F.col("c") * 0.6 + 0.1).alias("fc"))
+    return r6(maps.resample(p, places, ["i", "j"]), "z")
+
+
+def _rgb(step: str, name: int) -> str:
+    low, mid, high = (s[name] for s in maps.STOPS)
+    return f"cast(round_even(case when {step} < 128 then {low} + {mid - low} * {step} / 128e0 else {mid} + {high - mid} * ({step} - 128) / 127e0 end, 0) as int)"
+
+
+@query(f", s as (select r, c, z, least(255, greatest(0, floor((z - 300) / 2 * 256))) as k from pixels) select r, c, {', '.join(f'case when z is null then 0 else {_rgb("k", i)} end as {n}' for i, n in enumerate(('red', 'green', 'blue')))}, case when z is null then 0 else 255 end as alpha from s", "pixels")
+def q_colour_map(spark, sf):
+    return maps.coloured(fixture(spark, sf, "pixels"), 300.0, 302.0).drop("z")
+
+
+@query(f", b as (select min(z) as low, max(z) as high from pixels), s as (select cast(i as int) as i, low + (high - low) * i / 4e0 as value, floor(i * 255 / 4e0) as k from b, range(5) t(i)) select i, round(value, 6) as value, '#' || lower({' || '.join(f'lpad(to_hex({_rgb("k", i)}), 2, {chr(39)}0{chr(39)})' for i in range(3))}) as colour from s", "pixels")
+def q_legend_stops(spark, sf):
+    ends = fixture(spark, sf, "pixels").agg(F.min("z").alias("low"), F.max("z").alias("high"))
+    return r6(maps.legend(ends, 5), "value")
+
+
+@query(ZONES + " select zone, count(z) as n_px, round(median(z - 290 - r % 4 * 0.5e0), 6) as median, round(quantile_cont(z - 290 - r % 4 * 0.5e0, 0.9), 6) as p90 from zones left join pixels on r between r0 and r1 and c between c0 and c1 group by 1", "pixels")
+def q_height_above_ground(spark, sf):
+    p = fixture(spark, sf, "pixels")
+    return r6(maps.heights(p, p.select("r", "c", (290 + F.col("r") % 4 * 0.5).alias("z")), zones(spark, sf)), "median", "p90")
+
+
+POINTS = "points as (select c_custkey, -77.5e0 + (c_custkey % 100) * 0.011e0 as lon, 38.5e0 + (c_custkey % 37) * 0.021e0 as lat from customer)"
+TILES = "tiles as (select c_custkey, cast(z as int) as zoom, cast(floor((lon + 180) / 360 * pow(2, z)) as int) as tile_x, cast(floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * pow(2, z)) as int) as tile_y from points, range(13, 17) t(z))"
+
+
+def tiled_points(spark, sf, most=None):
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    at = c.select("c_custkey", (F.col("c_custkey") % 100 * 0.011 - 77.5).alias("lon"), (F.col("c_custkey") % 37 * 0.021 + 38.5).alias("lat"))
+    return maps.map_tiles(at, "c_custkey", most=most)
+
+
+@query(f"with {POINTS}, {TILES} select c_custkey, zoom, tile_x, tile_y from (select *, row_number() over (partition by zoom, tile_x, tile_y order by c_custkey) as k from tiles) where k <= 2")
+def q_map_tiles(spark, sf):
+    return tiled_points(spark, sf, 2)
+
+
+@query(f"with {POINTS}, {TILES} select min(zoom) as min_zoom, max(zoom) as max_zoom, count(distinct struct_pack(zoom, tile_x, tile_y)) as n_tiles from tiles")
+def q_zoom_range(spark, sf):
+    return tiled_points(spark, sf).agg(F.min("zoom").alias("min_zoom"), F.max("zoom").alias("max_zoom"), F.countDistinct("zoom", "tile_x", "tile_y").alias("n_tiles"))
+
+
+@query("""select '{"type":"Feature","properties":{"GEOID":"' || GEOID || '"},"geometry":{"type":"Polygon","coordinates":[[[' || minx || ',' || miny || '],[' || maxx || ',' || miny || '],[' || maxx || ',' || maxy || '],[' || minx || ',' || maxy || '],[' || minx || ',' || miny || ']]]}}' as feature from tracts""", "tracts")
+def q_geojson(spark, sf):
+    return maps.features(fixture(spark, sf, "tracts"), rules.box_ring(*map(F.col, ("minx", "miny", "maxx", "maxy"))), "GEOID")
+
+
+@query("select c_custkey, round(-77.5e0 + (c_custkey % 100) * 0.01e0, 8) as lon, round(38.5e0 + (c_custkey % 37) * 0.02e0, 8) as lat from customer")
+def q_crs_inverse(spark, sf):
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    x, y = rules.transverse_mercator(F.col("c_custkey") % 100 * 0.01 - 77.5, F.col("c_custkey") % 37 * 0.02 + 38.5)
+    lon, lat = rules.transverse_mercator_inverse(F.col("x"), F.col("y"))
+    return c.select("c_custkey", x.alias("x"), y.alias("y")).select("c_custkey", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
