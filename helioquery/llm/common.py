@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import mmap
 import os
 import tempfile
@@ -32,6 +33,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files of lineage that was cut: Spark removes them once driver and JVM have collected their garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     """The configured shuffle width, which a deployment sizes to its input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, release
 
 #: Segments of the first round, which all lines pass, and of the second.
 COARSE, FINE = 2, 16
@@ -44,12 +44,16 @@ def with_suspects(lines: DataFrame) -> DataFrame:
     """(h, first, line) of distinct lines, where the line is kept only if a masked copy of it meets another line's.
 
     :param lines: (line, first: an orderable place), one row per distinct line. h names the line; it is made of both
-        columns, so that all uses read the same shuffle of the distinct lines.
+        columns, so that all uses within a job read the same shuffle of the distinct lines.
     """
     hashed = lines.withColumn("h", F.xxhash64("first", "line"))
     coarse = _masked(hashed, COARSE, "h")
-    some = coarse.join(_met(coarse), "key", "left_semi").select("h").distinct().withColumn("some", F.lit(True))
-    return durable(hashed.join(some, "h", "left").select("h", "first", F.when(F.col("some"), F.col("line")).alias("line")))
+    # the distinct lines are shuffled once for the keys and once for the texts, so that the two don't lie on disk together
+    some = durable(coarse.join(_met(coarse), "key", "left_semi").select("h").distinct().withColumn("some", F.lit(True)))
+    release(lines.sparkSession)
+    out = durable(hashed.join(some, "h", "left").select("h", "first", F.when(F.col("some"), F.col("line")).alias("line")))
+    release(lines.sparkSession)
+    return out
 
 
 def earlier_neighbours(near: DataFrame) -> DataFrame:
@@ -97,9 +101,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and lose or keep the same line numbers; rows without id are one document that comes first. An empty table gives an
     empty table.
 
-    Three shuffles carry text (distinct lines, near lines, documents); the joins in between carry hashes.
+    Four shuffles carry text (distinct lines twice, near lines, documents); the joins in between carry hashes. The kept
+    line numbers are written before documents move, so that few of these shuffles lie on disk at a time.
     """
-    kept = kept_lines(docs, id_col, text_col).groupBy("id").agg(F.collect_list("line_no").alias("__kept")).withColumnRenamed("id", "__id")
+    kept = durable(kept_lines(docs, id_col, text_col).groupBy("id").agg(F.collect_list("line_no").alias("__kept")).withColumnRenamed("id", "__id"))
+    release(docs.sparkSession)
     out = docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]), "left").drop("__id")
     out = out.withColumn("__lines", F.split(text_col, "\n"))
     blank = F.filter(F.transform("__lines", lambda x, i: F.when(~x.rlike(r"[^\x20\x09-\x0D]"), i)), lambda i: i.isNotNull())
