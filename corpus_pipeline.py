@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from helioquery.llm.langid import UNDETERMINED, identify
 from helioquery.llm.linededup import dedup_lines
+from helioquery.llm.nearcopies import drop_similar
 from helioquery.llm.packing import pack
 from helioquery.llm.pii import replace_pii
 from helioquery.llm.queries import PII_KEY, language_model, spec
-from helioquery.llm.simhash import drop_near_copies
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents whose best language gets less than this score go, as do those without a letter.
@@ -34,8 +34,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return drop_near_copies(docs).select(COLUMNS)
+    """One document of each group of near copies stays: those whose sets of five words running are 0.8 alike or more."""
+    return drop_similar(docs).select(COLUMNS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

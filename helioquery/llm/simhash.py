@@ -22,11 +22,11 @@ SEED = 42
 WIDTHS = (13, 13, 13, 13, 12)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """64-bit SimHash of a text; null or wordless: 0."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """A hash of each run of ``shingle`` words, repeats included; of fewer words one of the whole; null or wordless: none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII letters and white space only
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     ends = list(accumulate(map(len, words), lambda at, n: at + 1 + n))
     if len(words) <= shingle:
@@ -35,7 +35,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
         starts = [0, *(e + 1 for e in ends)]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :])]
-    values = np.array(hashes, dtype="<u8")
+    return np.array(hashes, dtype="<u8")
+
+
+def fingerprint_of(values: np.ndarray) -> int:
+    """64-bit SimHash of shingle hashes; none: 0."""
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(values), 65_536):
         part = values[at : at + 65_536]
@@ -43,6 +47,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(counts * 2 > len(values), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """64-bit SimHash of a text; null or wordless: 0."""
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(id, fp): the fingerprint of each row as a signed long, from whole texts in one narrow pass."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -101,6 +110,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return marked.join(labels, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_mark(docs: DataFrame) -> Column:
+    """64 bits that tell rows apart unless all their columns are equal."""
+    return F.xxhash64(*docs.columns)
+
+
+def keep_one(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row of each group: that of the smallest id, rows without id last, then of the smallest mark.
+
+    :param rows: (mark, id, root: the group) of every row of docs.
+    """
+    least = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("least"))
+    kept = docs.withColumn("__mark", row_mark(docs)).join(least.select(F.col("least.mark").alias("__mark")), "__mark", "left_semi")
+    return kept.dropDuplicates(["__mark"]).select(docs.columns)
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keep one document, that of the smallest id, of each group of near copies; all columns stay.
 
