@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
-#: Titles by gender, and what follows them; fixed values of the languages covered.
-MALE = r"(?:Mr|Mister|Herr|Monsieur|Señor|Sir|г-н|господин)"
-FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Señora|Señorita|г-жа|госпожа)"
+#: Titles by gender in any case, and what follows them; fixed values of the languages covered.
+MALE = r"(?iu:Mr|Mister|Herr|Monsieur|Señor|Sir|г-н|господин)"
+FEMALE = r"(?iu:Mrs|Ms|Miss|Frau|Madame|Señora|Señorita|г-жа|госпожа)"
 _NAME = r"\.?[ \t]\p{Lu}[\p{L}'’-]+(?:[ \t]\p{Lu}[\p{L}'’-]+)?"
+#: Labels of secrets.
+LABEL = r"(?i:password|passwd|secret|token|api_key)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key)\s?[=:]\s?\"?)[^\s\"=]{8,}",
+    "secret": rf"(?<={LABEL}\s?[=:]\s?\"?)[^\s\"=]{{8,}}",
     "phone": r"(?<![\w+])\+\d{1,3}[ .\-]?\(?\d{2,4}\)?(?:[ .\-]?\d{2,4}){2,3}\b|(?<![\w.\-])\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}\b(?![\-.]\d)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}\b(?!-)",
     "card": r"(?<![\w\-])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{3,4}\b(?!-)",
@@ -28,7 +30,9 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts that this does not match hold no entity; it keeps the long alternation from most texts.
-HINT = rf"[@\d]|password|passwd|secret|token|api_key|{MALE}|{FEMALE}"
+HINT = rf"[@\d]|{LABEL}|(?<!\p{{L}})(?:{MALE}|{FEMALE})\.?[ \t]\p{{Lu}}"
+#: Secrets in hex letters stay the same in capitals, as in a text put in capitals.
+CAPITAL_HEX = "^[0-9A-F]+$"
 
 #: Given names by script and gender: short fixed lists; surnames are made of syllables.
 GIVEN = {
@@ -55,9 +59,9 @@ def kind_of(match: Column) -> Column:
 
 
 def canonical(kind: Column, match: Column) -> Column:
-    """What two mentions of one entity share: digits of numbers, lower case of addresses, the name without title."""
+    """What two mentions of one entity share: digits of numbers, lower case of addresses, the name without title, hex secrets in lower case."""
     name = F.lower(F.regexp_replace(match, rf"^(?:{MALE}|{FEMALE})\.?[ \t]", ""))
-    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(match, r"\D", "")).when(kind == "email", F.lower(match)).when(kind.startswith("name_"), name).otherwise(match)
+    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(match, r"\D", "")).when(kind == "email", F.lower(match)).when(kind.startswith("name_"), name).when((kind == "secret") & match.rlike(CAPITAL_HEX), F.lower(match)).otherwise(match)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -169,9 +173,9 @@ def _shaped(match: Column, kind: Column, sur: Column) -> Column:
     slots = F.filter(F.split(match, ""), lambda c: c != "")
     before = F.transform(slots, lambda c, i: F.length(F.regexp_replace(F.substring(match, F.lit(1), i + 1), r"\D", "")))
     digits = F.array_join(F.transform(slots, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(sur, F.get(before, i), F.lit(1))).otherwise(c)), "")
-    upper = F.when((F.upper(match) == match) & match.rlike("[A-Z]"), F.upper(sur)).otherwise(sur)
+    upper = F.when((F.upper(match) == match) & match.rlike(r"\p{Lu}"), F.upper(sur)).otherwise(sur)
     title = F.regexp_extract(match, rf"^(?:{MALE}|{FEMALE})\.?[ \t]", 0)
-    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "email", upper).when(kind.startswith("name_"), F.concat(title, sur)).otherwise(sur)
+    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "email", upper).when(kind.startswith("name_"), F.concat(title, upper)).when((kind == "secret") & match.rlike(CAPITAL_HEX), upper).otherwise(sur)
 
 
 def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
