@@ -18,10 +18,9 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model tells stay."""
-    told = identify(docs, language_model(docs))
-    bad = told.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < MIN_LANGUAGE_SCORE)).select(F.col("doc_id").alias("bad"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad"]), "left_anti").select(COLUMNS)
+    """Documents in a language that the model tells stay; each row is judged by its own text, whatever its id."""
+    told = identify(docs, language_model(docs), columns=COLUMNS)
+    return told.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(COLUMNS)
 
 
 def _with_length(docs: DataFrame) -> DataFrame:

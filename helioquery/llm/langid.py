@@ -10,6 +10,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .chunks import SpaceWords
 from .common import text_groups
@@ -210,25 +211,29 @@ def fit(docs: DataFrame, vocabulary: list[str], text_col: str = "text", lang_col
     return LanguageModel(pieces, languages, probs)
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """(id, lang_pred, score in 0 to 1) of each row, from whole texts in one narrow pass.
 
+    :param columns: the columns that go along instead of the id alone, so that no join has to bring rows and verdicts
+        together.
+
     Null texts and texts without a letter are ``und`` with score 0; repeated rows, rows without id and very long texts
     are rows like others; an empty table gives an empty table; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.pieces, model.languages, model.probs))  # the vocabulary x at most 256 languages
-    kind = docs.schema[id_col].dataType.simpleString()
+    along = columns or [id_col]
     models: list[LanguageModel] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models[:] = models or [LanguageModel(*shared.value)]
         for batch in batches:
-            for first, texts in text_groups(batch.column(1)):
+            for first, texts in text_groups(batch.column(len(along))):
                 lang, score = zip(*models[0].predict(texts))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
+                own = [batch.column(k).slice(first, len(texts)) for k in range(len(along))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*along, "lang_pred", "score"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+    schema = StructType([docs.schema[c] for c in along]).add("lang_pred", "string").add("score", "double")
+    return docs.select(*along, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
 def in_fold(crc: Column, parts: int) -> Column:
