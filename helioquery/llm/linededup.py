@@ -82,31 +82,33 @@ def earlier_neighbours(near: DataFrame) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, line_no) of every line that stays: the first of equal lines, unless a near line stands earlier still."""
-    split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
-    lines = split.select("id", "line_no", normal(F.col("raw")).alias("line")).where("line <> ''")
-    firsts = with_suspects(lines.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first")))
+    """(id, mark, line_no) of every line that stays: the first of equal lines, unless a near line stands earlier still."""
+    split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
+    lines = split.select("id", "mark", "line_no", normal(F.col("raw")).alias("line")).where("line <> ''")
+    firsts = with_suspects(lines.groupBy("line").agg(F.min(F.struct("id", "mark", "line_no")).alias("first")))
     gone = earlier_neighbours(firsts.where("line is not null")).select(F.col("first").alias("gone"))
-    return firsts.join(gone, firsts["first"] == gone["gone"], "left_anti").select("first.id", "first.line_no")
+    return firsts.join(gone, firsts["first"] == gone["gone"], "left_anti").select("first.id", "first.mark", "first.line_no")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Remove from every document the lines that occur earlier in the corpus, equal or within one edit.
 
-    Earlier means a smaller (id, line number); lines are compared in their normal form and one edit is a character
+    Earlier means a smaller (id, hash of the text, line number); lines are compared in their normal form and one edit is a character
     inserted, deleted or changed. A line that goes still stands for later ones. Lines without words stay. All columns of
     the input stay; ``text_col`` is what remains, and n_lines and n_kept (int) are added, replacing columns so named.
 
-    Null texts stay null with no line. A text whose lines all go is empty. Rows that repeat an id count as one document
-    and lose or keep the same line numbers; rows without id are one document that comes first. An empty table gives an
-    empty table.
+    Null texts stay null with no line. A text whose lines all go is empty. A document is an id and a text: of rows that
+    share an id, or have none, those of different texts are documents of their own, in the order of the texts' hashes;
+    equal ones lose or keep the same lines. Rows without id come first. An empty table gives an empty table.
 
     Four shuffles carry text (distinct lines twice, near lines, documents); the joins in between carry hashes. The kept
     line numbers are written before documents move, so that few of these shuffles lie on disk at a time.
     """
-    kept = durable(kept_lines(docs, id_col, text_col).groupBy("id").agg(F.collect_list("line_no").alias("__kept")).withColumnRenamed("id", "__id"))
+    kept = kept_lines(docs, id_col, text_col).groupBy("id", "mark").agg(F.collect_list("line_no").alias("__kept"))
+    kept = durable(kept.withColumnsRenamed({"id": "__id", "mark": "__mark"}))
     release(docs.sparkSession)
-    out = docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]), "left").drop("__id")
+    out = docs.withColumn("__own", F.xxhash64(text_col))
+    out = out.join(kept, out[id_col].eqNullSafe(kept["__id"]) & (out["__own"] == kept["__mark"]), "left").drop("__id", "__own", "__mark")
     out = out.withColumn("__lines", F.split(text_col, "\n"))
     blank = F.filter(F.transform("__lines", lambda x, i: F.when(~x.rlike(r"[^\x20\x09-\x0D]"), i)), lambda i: i.isNotNull())
     inside = F.filter(F.coalesce("__kept", F.array().cast("array<int>")), lambda i: i < F.size("__lines"))
