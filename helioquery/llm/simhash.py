@@ -126,10 +126,10 @@ def keep_one(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keep one document, that of the smallest id, of each group of near copies; all columns stay.
+    """Keep one row of each group of near copies; all columns stay.
 
-    Rows without id are kept: they can't be told apart. Repeated rows of the kept id stay as they came.
+    It is the row of the smallest id, rows without id last; of repeated ids the one of the smallest hash of the row.
     """
-    groups = simhash_components(docs, id_col, text_col)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_mark(docs).alias("mark"))
+    groups = simhash_components(docs.select(row.alias("row"), F.col(text_col).alias("text")), "row", "text")
+    return keep_one(docs, groups.select("row.mark", "row.id", F.col("component_id.mark").alias("root")))

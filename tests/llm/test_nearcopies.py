@@ -5,7 +5,7 @@ import numpy as np
 
 import corpus_pipeline
 from helioquery.llm.nearcopies import drop_similar
-from helioquery.llm.simhash import fingerprint
+from helioquery.llm.simhash import drop_near_copies, fingerprint
 
 
 def shingles(text):
@@ -62,3 +62,13 @@ def test_stage_on_the_corpus_equals_brute_force_jaccard(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     want, _ = brute({r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()})
     assert {r["doc_id"] for r in drop_similar(docs).select("doc_id").collect()} == want
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (6, a), (5, b), (3, b), (None, c), (None, c + " "), (None, c), (None, d), (9, d), (9, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for drop in (drop_near_copies, drop_similar):
+        got = sorted(((r["text"].strip(), r["doc_id"]) for r in drop(docs).collect()), key=str)
+        assert got == [(a, 5), (b, 3), (c, None), (d, 9)], drop
+    assert drop_near_copies(docs.limit(0)).count() == 0
