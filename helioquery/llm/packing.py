@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .chunks import ChunkTable, SpaceChunks
-from .common import partitions, text_groups
+from .common import durable, text_groups
 
 CAPACITY = 1024
 END_ID = 0
 SPECIAL = "<|endoftext|>"
 #: Sequence ids: the packing task's number above these bits, its own count below.
 TASK_BITS = 40
+#: Pieces that a packing task gets at least, unless there are fewer: so many fill windows about as well as all would.
+SHARE = 50_000
 #: The pre-tokenizer's pattern, a fixed value of the public byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -146,12 +148,13 @@ def pack(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "te
     columns are ignored.
 
     Texts don't move: only pieces of a few numbers are shuffled, at random over the tasks, sorted there and placed as
-    they stream by. A task holds no more than a number for each of its open windows, and its order is a function of the
+    they stream by. The number of tasks follows from the number of pieces alone, so that windows fill alike under any
+    setting of Spark; pieces are written before they are counted, so that texts are read once. A task holds no more than a number for each of its open windows, and its order is a function of the
     pieces alone, so a repeated task gives the same sequences.
     """
-    spark = docs.sparkSession
     mixed = F.xxhash64("id", "start", "ids_crc32", "doc_tokens")
-    dealt = pieces(docs, spec, id_col, text_col, capacity, end).repartition(partitions(spark), mixed)
+    cut = durable(pieces(docs, spec, id_col, text_col, capacity, end))
+    dealt = cut.repartition(max(1, cut.count() // SHARE), mixed)
     dealt = dealt.sortWithinPartitions(F.desc("length"), "id", "start", "ids_crc32", "doc_tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
