@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,9 +17,10 @@ from .common import text_groups
 
 #: Training documents of a language, about; a language with more is sampled by a hash of the id.
 TRAIN_DOCS = 1_000
-#: Distinct (language, word) counts that the fit uses, the most frequent ones.
+#: Distinct (language, word) counts that the fit uses: the most frequent ones of each language, in equal shares.
 TRAIN_WORDS = 200_000
 ROUNDS = 3
+#: Languages that are learnt, those of the most rows.
 LANGUAGES = 256
 START = "▁"
 #: Letters scored together; a longer run of letters is cut.
@@ -175,7 +176,9 @@ def fit(docs: DataFrame, vocabulary: list[str], text_col: str = "text", lang_col
     """Fit piece probabilities by expectation-maximisation on a bounded sample of labelled rows.
 
     About ``train_docs`` rows of each language, chosen by a hash of the id, are counted word by word on the executors;
-    the ``train_words`` largest counts come to the driver. Rows without language or text don't take part; without any
+    ``train_words`` counts come to the driver, the largest of each language in equal shares; what a language does not need
+    goes to the others. Of more than LANGUAGES languages those of the most rows are learnt, and the others' texts are
+    told as one of them. Rows without language or text don't take part; without any
     row the model knows no language.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
@@ -198,7 +201,8 @@ def fit(docs: DataFrame, vocabulary: list[str], text_col: str = "text", lang_col
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string()), pa.array(list(count.values()), pa.int64())], names=["lang", "word", "n"])
 
     counted = sample.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "lang", "word").limit(train_words).collect()
+    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
+    top = ranked.orderBy("rank", F.desc("n"), "lang", "word").limit(train_words).collect()
     words = {w: k for k, w in enumerate(dict.fromkeys(r["word"] for r in top))}
     counts = np.zeros((len(words), len(languages)))
     for r in top:
