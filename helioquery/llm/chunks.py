@@ -2,41 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 
-#: Chunks that a worker remembers; beyond that it starts anew.
-REMEMBERED = 200_000
-
-_ODD = re.compile(r" \s|\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-
-
-class SpaceChunks:
-    """Texts cut before each space that follows a non-space: a place where byte-level pre-tokenizers always cut.
-
-    values: the distinct chunks; codes: the number of each chunk in turn; ends: where each text's chunks end.
-    """
-
-    def __init__(self, texts: list[str]):
-        parts: list[str] = []
-        ends = np.empty(len(texts), dtype=np.int64)
-        for n, text in enumerate(texts):
-            if text:
-                if _ODD.search(text):
-                    parts += _CUT.split(text)
-                else:
-                    first, *rest = text.split(" ")
-                    if first:
-                        parts.append(first)
-                    parts += [" " + x for x in rest]
-            ends[n] = len(parts)
-        _encoded(self, parts, ends)
-
-
 class SpaceWords:
     """Texts cut at runs of ASCII white space, which is dropped."""
 
@@ -53,29 +21,3 @@ class SpaceWords:
 def _encoded(out, parts: list, ends: np.ndarray) -> None:
     coded = pa.array(parts, pa.large_binary() if parts and isinstance(parts[0], bytes) else pa.large_string()).dictionary_encode()
     out.values, out.codes, out.ends = coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends
-
-
-class ChunkTable:
-    """A bounded memory of a list of numbers for each chunk."""
-
-    def __init__(self, make: Callable[[list[str]], list[list[int]]], limit: int = REMEMBERED):
-        self.make, self.limit, self.known = make, limit, {}
-
-    def lists(self, values: list[str]) -> list[list[int]]:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        missing = [v for v in values if v not in known]
-        known.update(zip(missing, self.make(missing)))
-        return [known[v] for v in values]
-
-    def gather(self, found: SpaceChunks, dtype) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of all chunks in turn, and where each text's end."""
-        lists = self.lists(found.values)
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter((x for one in lists for x in one), dtype=dtype, count=int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
-        each = sizes[found.codes]
-        upto = np.concatenate([[0], np.cumsum(each)])
-        index = np.repeat(begin[found.codes] - upto[:-1], each) + np.arange(upto[-1])
-        return flat[index], upto[found.ends]

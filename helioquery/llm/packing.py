@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .chunks import ChunkTable, SpaceChunks
 from .common import durable, text_groups
 
 CAPACITY = 1024
@@ -24,6 +24,9 @@ SPECIAL = "<|endoftext|>"
 TASK_BITS = 40
 #: Pieces that a packing task gets at least, unless there are fewer: so many fill windows about as well as all would.
 SHARE = 50_000
+#: The ranks' pattern engine gives up within a run of a million blanks; texts with half as many in a row take the other way.
+BLANK_RUN = 500_000
+_BLANK = re.compile(rf"\s{{{BLANK_RUN}}}")
 #: The pre-tokenizer's pattern, a fixed value of the public byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -36,7 +39,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteBPE:
-    """Ids of a byte-level BPE file; words go through its ranks, texts with a special token through the whole tokenizer."""
+    """Ids of a byte-level BPE file: a text goes through its ranks, one with a special token or an endless blank run through the whole tokenizer."""
 
     def __init__(self, spec: str):
         letters, model = byte_letters(), json.loads(spec)["model"]
@@ -45,19 +48,19 @@ class ByteBPE:
         self.whole = Tokenizer.from_str(spec)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.chunks = ChunkTable(lambda chunks: [self.fast.encode_ordinary(c) for c in chunks])
 
     def encode(self, texts: list[str | None], end: int = END_ID) -> Iterator[np.ndarray]:
         """uint32 ids of each text, ``end`` last; null is empty."""
-        found = SpaceChunks(["" if t is None or SPECIAL in t else t for t in texts])
-        ids, ends = self.chunks.gather(found, np.uint32)
-        at = 0
-        for text, stop in zip(texts, ends.tolist()):
-            own = ids[at:stop]
-            at = stop
-            if text is not None and SPECIAL in text:
-                own = np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-            yield np.append(own, np.uint32(end)).astype("<u4")
+        last, quick = np.array([end], dtype="<u4"), self.fast.encode_ordinary
+        for text in texts:
+            if not text:
+                yield last
+            elif SPECIAL in text or len(text) >= BLANK_RUN and _BLANK.search(text):
+                yield np.array([*self.whole.encode(text, add_special_tokens=False).ids, end], dtype="<u4")
+            else:
+                own = quick(text)
+                own.append(end)
+                yield np.array(own, dtype="<u4")
 
 
 class OpenWindows:
