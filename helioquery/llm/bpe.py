@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .chunks import SpaceWords
-from .common import mapped, text_groups
+from .common import array_groups, durable, mapped
 from .packing import byte_letters
 
 #: Words of the lexicon, at most. It is a cache of exact results, so its size changes speed alone.
@@ -25,8 +25,13 @@ LONGEST = 64
 MARK = "</w>"
 #: Marks that end many words; a run of them is one word of its own, whatever stands before.
 PLAIN_MARKS = ".,;:!?"
+#: Letters that the file's normalizer keeps, but for their case, and its pre-tokenizer never parts: lower-case ASCII, Latin-1,
+#: Greek, Cyrillic, kana, Han and Hangul syllables. Words of them need neither.
+PLAIN = r"^[a-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}\x{386}\x{388}-\x{38A}\x{38C}\x{38E}-\x{3A1}\x{3A3}-\x{3CE}\x{400}-\x{45F}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FA5}\x{AC00}-\x{D7A3}]+$"
 #: Chunks that a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Distinct words that a counting task holds, about, before it passes them on.
+COUNTED = 600_000
 
 
 class Vocabulary:
@@ -184,84 +189,103 @@ class Lexicon:
 
 
 class WordBPE:
-    """Encoder and decoder of one worker."""
+    """Encoder and decoder of one worker: chunks between white space are worked out once while they are remembered."""
 
     def __init__(self, spec: str, blob: bytes):
         self.vocab, self.lexicon = Vocabulary(spec), Lexicon(blob)
         library = Tokenizer.from_str(spec)
         self.normal, self.cut = library.normalizer, library.pre_tokenizer
         self.letters = byte_letters()
-        self.known: dict[str, int] = {}
-        self.word_ids: dict[bytes, list[int]] = {}
-        self.size, self.spelled, self.decoded = [], [], []
+        names = self.vocab.names
+        self.names = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string())
+        self.numbers = pa.array([str(i) for i in range(len(self.names))], pa.string())
         self.special = re.compile("|".join(map(re.escape, sorted(self.vocab.special, key=len, reverse=True))) or r"(?!)")
+        self._forget()
 
-    def words(self, chunk: str) -> list[bytes]:
-        """The words of a chunk without white space, as the file's normalizer and pre-tokenizer make them."""
-        core = chunk.rstrip(PLAIN_MARKS)
-        if not core:
-            return [chunk.encode()]
-        if core.isalpha() and max(core) < "\u0100":  # Latin-1 letters: composed already, and each has one lower case
-            word = core.lower().encode()
-            return [word] if len(core) == len(chunk) else [word, chunk[len(core) :].encode()]
-        found = self.cut.pre_tokenize_str(self.normal.normalize_str(chunk))
-        return [bytes(self.letters[c] for c in word) for word, _ in found]
-
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        ids = self.lexicon.find(words)
-        missing = [k for k, x in enumerate(ids) if x is None]
-        for k, x in zip(missing, self.vocab.merge([words[k] for k in missing])):
-            ids[k] = x
-        return ids
-
-    def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
-        """(count, the decimal ids, the decoded text) of each text."""
-        texts = ["" if t is None else t for t in texts]
-        split = [self._special(t) for t in texts]
-        found = SpaceWords([part for parts in split for part, _ in parts])
-        number = self._learned(found.values)
-        size, spelled, decoded = self.size, self.spelled, self.decoded
-        full = all(size[k] for k in number)
-        codes, at, part = np.array(number, dtype=np.int64)[found.codes].tolist(), 0, 0
-        for parts in split:
-            count, left, right = 0, [], []
-            for _, special in parts:
-                stop = int(found.ends[part])
-                here = codes[at:stop] if full else [c for c in codes[at:stop] if size[c]]
-                at, part = stop, part + 1
-                count += sum([size[c] for c in here])
-                left += [spelled[c] for c in here]
-                right += [decoded[c] for c in here]
-                if special:
-                    count += 1
-                    left.append(str(self.vocab.special[special]))
-                    right.append(special)
-            yield count, " ".join(left), " ".join(right)
-
-    def _learned(self, chunks: list[str]) -> list[int]:
-        """The place of each chunk's count, decimal ids and decoded text; chunks are worked out once while they are remembered."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            self.word_ids.clear()
-            self.size, self.spelled, self.decoded = [], [], []
-        missing = [c for c in chunks if c not in known]
-        own = [self.words(c) for c in missing]
-        ids, name = self.word_ids, self.vocab.names
-        distinct = list(dict.fromkeys(w for ws in own for w in ws if w not in ids))
-        ids.update(zip(distinct, self.encode_words(distinct)))
-        for chunk, ws in zip(missing, own):
-            flat = [i for w in ws for i in ids[w]]
-            known[chunk] = len(self.size)
-            self.size.append(len(flat))
-            self.spelled.append(" ".join(map(str, flat)))
-            self.decoded.append(" ".join([name[i] for i in flat]))
-        return [known[c] for c in chunks]
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.int32), 0
+        self.begin, self.size = array("q", [0]), array("q", [0])  # of each remembered list of ids; the first is empty
+
+    def digests(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """(counts, the decimal ids, the decoded texts) of all texts; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            split = [self._special(t) for t in texts.to_pylist()]
+            parts = pa.array([part for own in split for part, _ in own], pa.large_string())
+            after = np.array([self.vocab.special.get(special, -1) for own in split for _, special in own])
+            last = np.cumsum([len(own) for own in split]) - 1
+        else:
+            parts, after, last = texts, np.full(len(texts), -1), np.arange(len(texts))
+        listed = pc.ascii_split_whitespace(pc.ascii_lower(parts))
+        coded = listed.values.dictionary_encode()
+        codes = self._learned(coded.dictionary)[coded.indices.to_numpy()]
+        begin, each = (np.frombuffer(x, dtype=np.int64)[codes] for x in (self.begin, self.size))
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = self.ids[np.repeat(begin - upto[:-1], each) + np.arange(upto[-1])]
+        ends = upto[listed.offsets.to_numpy()[1:]]
+        ids = np.insert(ids, ends[after >= 0], after[after >= 0])
+        ends = (ends + np.cumsum(after >= 0))[last]
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        left, right = (pc.binary_join(pa.ListArray.from_arrays(offsets, x.take(pa.array(ids))), " ") for x in (self.numbers, self.names))
+        return pa.array(np.diff(ends, prepend=0), pa.int64()), left, right
+
+    def _learned(self, chunks: pa.Array) -> np.ndarray:
+        """The place of each chunk's list of ids."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        values, known = chunks.to_pylist(), self.known
+        out = np.array([known.get(v, -1) for v in values], dtype=np.int64)
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            own = chunks.take(pa.array(missing))
+            core = pc.utf8_rtrim(own, characters=PLAIN_MARKS)
+            tail = pc.utf8_length(own).to_numpy() - pc.utf8_length(core).to_numpy()
+            plain = pc.match_substring_regex(core, PLAIN).to_numpy(zero_copy_only=False)
+            marks = pc.utf8_length(core).to_numpy() == 0
+            lower, places = pc.utf8_lower(core).to_pylist(), []
+            for k, n, simple, bare, word in zip(missing.tolist(), tail.tolist(), plain.tolist(), marks.tolist(), lower):
+                chunk = values[k]
+                if simple:
+                    places.append([word, chunk[-n:]] if n else [word])
+                elif bare:
+                    places.append([chunk] if chunk else [])
+                else:
+                    places.append([bytes(self.letters[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self.cut.pre_tokenize_str(self.normal.normalize_str(chunk))])
+            self._encode(dict.fromkeys(w for ws in places for w in ws if w not in self.words))
+            words, begin, size = self.words, self.begin, self.size
+            for k, ws in zip(missing.tolist(), places):
+                if len(ws) == 1:
+                    place = words[ws[0]]
+                else:
+                    at = [words[w] for w in ws]
+                    place = self._keep([i for p in at for i in self.ids[begin[p] : begin[p] + size[p]].tolist()])
+                known[values[k]] = out[k] = place
+        return out
+
+    def _encode(self, words: dict[str, None]) -> None:
+        own = [w.encode("utf-8", "surrogateescape") for w in words]
+        found = self.lexicon.find(own)
+        missing = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(missing, self.vocab.merge([own[k] for k in missing])):
+            found[k] = x
+        for word, ids in zip(words, found):
+            self.words[word] = self._keep(ids)
+
+    def _keep(self, ids: list[int]) -> int:
+        """Remember a list of ids; its place."""
+        stop = self.used + len(ids)
+        if stop > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), dtype=np.int32)])
+        self.ids[self.used : stop] = ids
+        self.begin.append(self.used)
+        self.size.append(len(ids))
+        self.used = stop
+        return len(self.size) - 1
 
     def _special(self, text: str) -> list[tuple[str, str]]:
         """The text's parts, each with the special token that follows it."""
-        if "<|" not in text:
-            return [(text, "")]
         out, at = [], 0
         for m in self.special.finditer(text):
             out.append((text[at : m.start()], m[0]))
@@ -270,18 +294,40 @@ class WordBPE:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON) -> list[str]:
-    """The ``most`` frequent words of plain letters, counted over all texts; ties by the words' order."""
+    """The most frequent words of plain letters that occur twice or more, counted over all texts, ``most`` at most.
+
+    Words as frequent as the first one that finds no room are left out with it. Only a count of words by frequency and
+    the words themselves come to the driver.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
         for batch in batches:
-            for _, texts in text_groups(batch.column(0)):
-                found = SpaceWords([t.lower() for t in texts if t is not None])
-                kept = [k for k, v in enumerate(found.values) if v.isalpha() and v.isascii() and len(v) <= LONGEST]
-                counts = np.bincount(found.codes, minlength=len(found.values)) if len(found.values) else np.zeros(0, int)
-                yield pa.RecordBatch.from_arrays([pa.array([found.values[k] for k in kept], pa.string()), pa.array(counts[kept], pa.int64())], names=["word", "n"])
+            for _, texts in array_groups(batch.column(0)):
+                words = pc.ascii_split_whitespace(pc.utf8_lower(pc.drop_null(texts).cast(pa.large_string()))).values.value_counts()
+                names = pc.utf8_rtrim(words.field(0), characters=PLAIN_MARKS)
+                good = pc.and_(pc.match_substring_regex(names, PLAIN), pc.less_equal(pc.binary_length(names), LONGEST))
+                held.append(pa.table({"word": names.filter(good).cast(pa.string()), "n": words.field(1).filter(good)}))
+                rows += held[-1].num_rows
+                if rows > COUNTED:
+                    held = [summed()]
+                    rows = held[0].num_rows
+                    if rows > COUNTED // 2:
+                        yield from held.pop().to_batches()
+                        rows = 0
+        if held:
+            yield from summed().to_batches()
 
     counted = docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = durable(counted.where("n > 1"))
+    by_n = counted.groupBy("n").agg(F.count("*").alias("words"))
+    above = F.sum("words").over(Window.orderBy(F.desc("n")))
+    least = by_n.select("n", above.alias("above")).where(F.col("above") <= most).agg(F.min("n")).first()[0]
+    return [] if least is None else [r["word"] for r in counted.where(F.col("n") >= least).collect()]
 
 
 def encode_decode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", lexicon: int = LEXICON) -> DataFrame:
@@ -305,14 +351,8 @@ def encode_decode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models[:] = models or [WordBPE(*shared.value)]
         for batch in batches:
-            for first, texts in text_groups(batch.column(1), 1_000_000):
-                count, ids, decoded = zip(*models[0].digests(texts))
-                own = batch.column(0).slice(first, len(texts))
-                yield pa.RecordBatch.from_arrays([own, pa.array(count, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["id", "n_tokens", "ids", "decoded"])
+            for first, texts in array_groups(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *models[0].digests(texts)], names=["id", "n_tokens", "ids", "decoded"])
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids string, decoded string")
     return out.withColumnRenamed("id", id_col)
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -8,7 +8,9 @@ import os
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,15 @@ def text_groups(column: pa.ChunkedArray | pa.Array, limit: int = GROUP_CHARS) ->
         yield start, held
 
 
+def array_groups(column: pa.ChunkedArray | pa.Array, limit: int = GROUP_CHARS) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive parts of at most ``limit`` bytes of text each (one longer text stands alone), with the index of their first row."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+        yield at, column.take(pa.array(range(at, stop)))  # a copy: string kernels misread slices
+        at = stop
+
+
 def mapped(blob: bytes) -> mmap.mmap:
     """A read-only memory map of ``blob``; it lies in memory, not in a folder of the machine."""
     fd = os.memfd_create("model")
