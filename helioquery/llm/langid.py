@@ -3,33 +3,37 @@
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .chunks import SpaceWords
-from .common import text_groups
+from .common import durable, text_groups
 
-#: Training documents of a language, about; a language with more is sampled by a hash of the id.
+#: Training documents of a language, about; a language with more is sampled by a hash of the row.
 TRAIN_DOCS = 1_000
-#: Distinct (language, word) counts that the fit uses: the most frequent ones of each language, in equal shares.
-TRAIN_WORDS = 200_000
 ROUNDS = 3
-#: Languages that are learnt, those of the most rows.
-LANGUAGES = 256
+#: Numbers of a model (pieces x languages) that workers can hold; a fit that needs more is refused.
+MODEL_NUMBERS = 100_000_000
 START = "▁"
-#: Letters scored together; a longer run of letters is cut.
-LONGEST = 24
+#: Letters of a training run that are counted together; a longer one is counted in parts. Prediction cuts nothing.
+TRAIN_RUN = 48
+#: Letters after which the running probabilities are scaled up again.
+RESCALE = 16
 #: A text's evidence counts as that of this many words at most, which keeps the score of mixed texts below 1.
 EVIDENCE_WORDS = 10
 UNDETERMINED = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Python's word characters but digits, the underscore and numbers that are no letters, such as halves and circled ones
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _PRIME = np.uint64(1_099_511_628_211)
 
 
@@ -49,6 +53,7 @@ class Pieces:
         keys = np.array([self._hash(p) for p in known], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids, self.unknown = keys[order], np.array(list(known.values()))[order], len(pieces)
+        self.longest = max(map(len, pieces), default=1)
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -91,14 +96,24 @@ def _by_length(words: list[str], block: int = 20_000) -> Iterator[tuple[np.ndarr
 
 
 def forward(pieces: Pieces, probs: np.ndarray, words: list[str]) -> np.ndarray:
-    """Natural log of each word's probability under each language (words x languages)."""
+    """Natural log of each word's probability under each language (words x languages), whatever the words' lengths."""
     out = np.zeros((len(words), probs.shape[1]))
+    ring = pieces.longest + 1  # a piece ends at most so far from where it begins
     for rows, letters in _by_length(words):
-        alpha = np.zeros((letters.shape[1] + 1, len(rows), probs.shape[1]))
-        alpha[0] = 1
+        n = letters.shape[1]
+        alpha = np.zeros((min(ring, n + 1), len(rows), probs.shape[1]))
+        alpha[0], scale, last = 1, 0.0, 0
         for i, j, r, ids in pieces.matches(letters):
-            alpha[j][r] += alpha[i][r] * probs[ids]
-        out[rows] = np.log(np.maximum(alpha[-1], 1e-300))
+            if i != last:
+                if n >= ring:
+                    alpha[last % ring] = 0
+                last = i
+                if i % RESCALE == 0:
+                    top = np.maximum(alpha.max(axis=0), 1e-300)
+                    alpha /= top
+                    scale = scale + np.log(top)
+            alpha[j % ring][r] += alpha[i % ring][r] * probs[ids]
+        out[rows] = np.log(np.maximum(alpha[n % ring], 1e-300)) + scale
     return out
 
 
@@ -123,11 +138,13 @@ def expected(pieces: Pieces, probs: np.ndarray, words: list[str], counts: np.nda
 
 
 def split_words(chunk: str) -> list[str]:
-    """Lower-case runs of letters, marked at their start; long runs in parts."""
-    out = []
-    for run in _LETTERS.findall(chunk.lower()):
-        out += [run[at : at + LONGEST] if at else START + run[:LONGEST] for at in range(0, len(run), LONGEST)]
-    return out
+    """Lower-case runs of letters, marked at their start."""
+    return [START + run for run in _LETTERS.findall(chunk.lower())]
+
+
+def train_words(chunk: str) -> list[str]:
+    """The same, long runs in parts."""
+    return [run[at : at + TRAIN_RUN] for run in split_words(chunk) for at in range(0, len(run), TRAIN_RUN)]
 
 
 class LanguageModel:
@@ -172,49 +189,64 @@ class LanguageModel:
         return out
 
 
-def fit(docs: DataFrame, vocabulary: list[str], text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, rounds: int = ROUNDS) -> LanguageModel:
+def fit(docs: DataFrame, vocabulary: list[str], text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS) -> LanguageModel:
     """Fit piece probabilities by expectation-maximisation on a bounded sample of labelled rows.
 
-    About ``train_docs`` rows of each language, chosen by a hash of the id, are counted word by word on the executors;
-    ``train_words`` counts come to the driver, the largest of each language in equal shares; what a language does not need
-    goes to the others. Of more than LANGUAGES languages those of the most rows are learnt, and the others' texts are
-    told as one of them. Rows without language or text don't take part; without any
-    row the model knows no language.
+    About ``train_docs`` rows of each language, chosen by a hash of the row, are counted word by word, all words of them.
+    The expected uses of each round are summed on the executors; what comes to the driver is a number for each piece and
+    language. Every language that a row names is learnt; a table of so many that workers can't hold the model is an error.
+    Rows without language or text don't take part; without any row the model knows no language.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    most = MODEL_NUMBERS // (len(vocabulary) + 1)
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most + 1).collect()}
+    if len(sizes) > most:
+        raise ValueError(f"a model of more than {most} languages over {len(vocabulary)} pieces does not fit the workers")
     languages = sorted(sizes)
+    pieces = Pieces(vocabulary)
     if not languages:
-        return LanguageModel(Pieces(vocabulary), [], np.zeros((len(vocabulary) + 1, 0)))
+        return LanguageModel(pieces, [], np.zeros((len(vocabulary) + 1, 0)))
     share = F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1.0, train_docs / sizes[lang]))))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
+    sample = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for first, texts in text_groups(batch.column("text")):
-                count: dict[tuple[str, str], int] = {}
-                for k, text in enumerate(texts):
-                    for w in split_words(text):
-                        count[langs[first + k], w] = count.get((langs[first + k], w), 0) + 1
-                pairs = list(count)
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string()), pa.array(list(count.values()), pa.int64())], names=["lang", "word", "n"])
-
-    counted = sample.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
-    top = ranked.orderBy("rank", F.desc("n"), "lang", "word").limit(train_words).collect()
-    words = {w: k for k, w in enumerate(dict.fromkeys(r["word"] for r in top))}
-    counts = np.zeros((len(words), len(languages)))
-    for r in top:
-        counts[words[r["word"]], languages.index(r["lang"])] = r["n"]
-    pieces = Pieces(vocabulary)
+                found = Counter((langs[first + k], w) for k, text in enumerate(texts) for w in train_words(text))
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([w for _, w in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
+
+    counted = durable(sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     probs = np.full((len(vocabulary) + 1, len(languages)), 1 / (len(vocabulary) + 1))
     for _ in range(rounds):
-        uses = expected(pieces, probs, list(words), counts) + 0.01
+        uses = _expected_uses(counted, pieces, languages, probs) + 0.01
         probs = uses / uses.sum(axis=0)
     return LanguageModel(pieces, languages, probs)
 
 
+def _expected_uses(counted: DataFrame, pieces: Pieces, languages: list[str], probs: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in each language over the counted words, summed on the executors."""
+    shared, number = counted.sparkSession.sparkContext.broadcast((pieces, probs)), {x: k for k, x in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, probs = shared.value
+        total = np.zeros_like(probs)
+        for batch in batches:
+            lang = np.array([number[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
+            words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            for k in np.unique(lang).tolist():
+                own = np.flatnonzero(lang == k)
+                total[:, [k]] += expected(pieces, probs[:, [k]], [words[i] for i in own.tolist()], n[own, None].astype(float))
+        piece, k = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(k), pa.array(total[piece, k])], names=["piece", "lang", "uses"])
+
+    found = counted.mapInArrow(run, "piece long, lang long, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toArrow()
+    shared.unpersist()
+    out = np.zeros_like(probs)
+    out[found["piece"].to_numpy(), found["lang"].to_numpy()] = found["uses"].to_numpy()
+    return out
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """(id, lang_pred, score in 0 to 1) of each row, from whole texts in one narrow pass.
 
@@ -224,7 +256,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     Null texts and texts without a letter are ``und`` with score 0; repeated rows, rows without id and very long texts
     are rows like others; an empty table gives an empty table; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.pieces, model.languages, model.probs))  # the vocabulary x at most 256 languages
+    shared = docs.sparkSession.sparkContext.broadcast((model.pieces, model.languages, model.probs))  # at most MODEL_NUMBERS numbers
     along = columns or [id_col]
     models: list[LanguageModel] = []
 
