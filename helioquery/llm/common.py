@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import mmap
 import os
 import tempfile
@@ -17,6 +16,9 @@ from pyspark.sql import functions as F
 #: Upper limit, in characters, of the text a Python worker holds as token lists at once (one longer text stands alone).
 GROUP_CHARS = 2_000_000
 
+#: Rows of a few numbers that a join sends to every executor at most, some tens of bytes each.
+BROADCAST_ROWS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, read by Spark so that any file system it knows will do."""
@@ -35,10 +37,9 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Free the shuffle files of lineage that was cut: Spark removes them once driver and JVM have collected their garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def narrow_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+    """left joined to right, a table that is written already: broadcast if it has no more than BROADCAST_ROWS rows, else shuffled."""
+    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, how)
 
 
 def partitions(spark: SparkSession) -> int:

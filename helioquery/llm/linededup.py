@@ -4,6 +4,8 @@ Lines that differ by one edit have a common variant: a substitution leaves equal
 both, an insertion leaves the shorter line when its place is deleted from the longer. All variants of all lines would
 be as many as characters, so two exact rounds prune first: one edit leaves all of a line but one segment untouched, so
 a line whose masked copies meet no other line has no neighbour, and only the segments that do meet one are varied.
+
+Until then lines are hashes: texts are read where they lie, and only those of lines that may have a neighbour move.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, release
+from .common import durable, narrow_join
 
-#: Segments of the first round, which all lines pass, and of the second.
-COARSE, FINE = 2, 16
+#: Segments of the second round; the first one, which all lines pass, has two.
+FINE = 16
 
 
 def normal(line: Column) -> Column:
@@ -40,31 +42,27 @@ def _met(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
 
 
-def with_suspects(lines: DataFrame) -> DataFrame:
-    """(h, first, line) of distinct lines, where the line is kept only if a masked copy of it meets another line's.
-
-    :param lines: (line, first: an orderable place), one row per distinct line. h names the line; it is made of both
-        columns, so that all uses within a job read the same shuffle of the distinct lines.
-    """
-    hashed = lines.withColumn("h", F.xxhash64("first", "line"))
-    coarse = _masked(hashed, COARSE, "h")
-    # the distinct lines are shuffled once for the keys and once for the texts, so that the two don't lie on disk together
-    some = durable(coarse.join(_met(coarse), "key", "left_semi").select("h").distinct().withColumn("some", F.lit(True)))
-    release(lines.sparkSession)
-    out = durable(hashed.join(some, "h", "left").select("h", "first", F.when(F.col("some"), F.col("line")).alias("line")))
-    release(lines.sparkSession)
+def half_keys(line: Column) -> list[Column]:
+    """Keys of the first round: for both shorter lengths that a partner may give the pair, one half alone."""
+    length, out = F.length(line), []
+    for shorter in (length, length - 1):
+        half = F.floor(shorter / 2).cast("int")
+        out += [F.xxhash64(shorter, F.lit(0), F.substring(line, length - (shorter - half) + 1, length)), F.xxhash64(shorter, F.lit(1), F.substring(line, F.lit(1), half))]
     return out
 
 
 def earlier_neighbours(near: DataFrame) -> DataFrame:
-    """(first) of those lines of ``with_suspects`` that have a line within one edit whose first place is earlier."""
-    fine = _masked(near, FINE, "h", "line", "first")
-    met = _met(_masked(near, FINE, "h"))
-    parts = fine.join(met, "key", "left_semi")
+    """(first) of those lines that have one within one edit whose first place is earlier.
+
+    :param near: (line, first: an orderable place) of distinct lines.
+    """
+    near = near.withColumn("h", F.xxhash64("first", "line"))
+    keyed = _masked(near, FINE, "h")
+    parts = narrow_join(keyed, durable(_met(keyed)), "key", "left_semi")
     # variants without one character of the segments that meet; beside them the lines as they are, which a longer line's variant can equal
-    place = parts.where("end > begin").withColumn("at", F.explode(F.sequence(F.col("begin") + 1, F.col("end")))).select("h", "line", "first", "at").distinct()
+    place = parts.where("end > begin").select("h", F.explode(F.sequence(F.col("begin") + 1, F.col("end"))).alias("at")).distinct()
     rest = F.concat(F.substring("line", F.lit(1), F.col("at") - 1), F.substring("line", F.col("at") + 1, F.length("line")))
-    varied = place.select("h", "first", F.xxhash64(rest).alias("k1"), F.hash(rest).alias("k2"), "at")
+    varied = durable(place.join(near, "h").select("h", "first", F.xxhash64(rest).alias("k1"), F.hash(rest).alias("k2"), "at"))
     plain = near.select("h", "first", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), F.lit(0).alias("at"))
     both = varied.union(plain)
     # equal rests of one place: a substitution; the earliest line of each group stands for it, so no pairs are made
@@ -82,12 +80,24 @@ def earlier_neighbours(near: DataFrame) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, mark, line_no) of every line that stays: the first of equal lines, unless a near line stands earlier still."""
+    """(id, mark, line_no) of every line that stays: the first of equal lines, unless a near line stands earlier still.
+
+    Lines are told apart by 96 bits of hash.
+    """
     split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
-    lines = split.select("id", "mark", "line_no", normal(F.col("raw")).alias("line")).where("line <> ''")
-    firsts = with_suspects(lines.groupBy("line").agg(F.min(F.struct("id", "mark", "line_no")).alias("first")))
-    gone = earlier_neighbours(firsts.where("line is not null")).select(F.col("first").alias("gone"))
-    return firsts.join(gone, firsts["first"] == gone["gone"], "left_anti").select("first.id", "first.mark", "first.line_no")
+    lines = split.select(F.struct("id", "mark", "line_no").alias("place"), normal(F.col("raw")).alias("line")).where("line <> ''")
+    lines = lines.select("place", "line", F.xxhash64("line").alias("h"), F.hash("line").alias("h2"))
+    keys = [k.alias(f"k{n}") for n, k in enumerate(half_keys(F.col("line")))]
+    hashed = lines.select("place", "h", "h2", *keys).groupBy("h", "h2").agg(F.min("place").alias("first"), *(F.first(f"k{n}").alias(f"k{n}") for n in range(len(keys))))
+    firsts = durable(hashed)
+    keyed = firsts.select("h", F.explode(F.array(*(f"k{n}" for n in range(len(keys))))).alias("key"))
+    suspects = durable(narrow_join(keyed, durable(_met(keyed)), "key", "left_semi").select("h").distinct())
+    places = durable(narrow_join(firsts, suspects, "h", "left_semi").select("first", F.col("first.mark").alias("mark")))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    found = narrow_join(texts, places, "mark", "inner").where(F.col("id").eqNullSafe(F.col("first.id")))
+    near = durable(found.select("first", normal(F.get(F.split("text", "\n"), F.col("first.line_no"))).alias("line")).distinct())
+    gone = durable(earlier_neighbours(near))
+    return narrow_join(firsts, gone, "first", "left_anti").select("first.id", "first.mark", "first.line_no")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,12 +111,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     share an id, or have none, those of different texts are documents of their own, in the order of the texts' hashes;
     equal ones lose or keep the same lines. Rows without id come first. An empty table gives an empty table.
 
-    Four shuffles carry text (distinct lines twice, near lines, documents); the joins in between carry hashes. The kept
-    line numbers are written before documents move, so that few of these shuffles lie on disk at a time.
+    Two shuffles carry text: of lines that may have a neighbour, and of documents when they meet the numbers of the lines
+    that stay. All others carry hashes and places. Few keys are broadcast, their number checked; many are joined by a shuffle.
     """
     kept = kept_lines(docs, id_col, text_col).groupBy("id", "mark").agg(F.collect_list("line_no").alias("__kept"))
-    kept = durable(kept.withColumnsRenamed({"id": "__id", "mark": "__mark"}))
-    release(docs.sparkSession)
+    kept = kept.withColumnsRenamed({"id": "__id", "mark": "__mark"})
     out = docs.withColumn("__own", F.xxhash64(text_col))
     out = out.join(kept, out[id_col].eqNullSafe(kept["__id"]) & (out["__own"] == kept["__mark"]), "left").drop("__id", "__own", "__mark")
     out = out.withColumn("__lines", F.split(text_col, "\n"))
