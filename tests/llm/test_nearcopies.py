@@ -3,8 +3,10 @@ from fractions import Fraction
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from helioquery.llm.nearcopies import drop_similar
+from helioquery.llm.nearcopies import differing_bits, drop_similar, sketch_of
 from helioquery.llm.simhash import drop_near_copies, fingerprint
 
 
@@ -72,3 +74,15 @@ def test_one_row_of_each_group_stays_whatever_the_ids(spark):
         got = sorted(((r["text"].strip(), r["doc_id"]) for r in drop(docs).collect()), key=str)
         assert got == [(a, 5), (b, 3), (c, None), (d, 9)], drop
     assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_sketches_never_differ_in_more_bits_than_sets(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (0, 1, 5, 250, 256, 257, 700, 3000):
+        for k in (0, 1, 40):
+            a = np.unique(rng.integers(-(1 << 63), 1 << 63, n + k))
+            b = np.unique(np.concatenate([a[k:], rng.integers(-(1 << 63), 1 << 63, k // 2)]))
+            rows.append((len(np.setxor1d(a, b)), sketch_of(a).tolist(), sketch_of(b).tolist()))
+    got = spark.createDataFrame(rows, "apart int, a array<long>, b array<long>").select("apart", differing_bits(F.col("a"), F.col("b")).alias("bits")).collect()
+    assert all(r["bits"] <= r["apart"] and (r["apart"] - r["bits"]) % 2 == 0 for r in got) and any(r["bits"] > 30 for r in got)
