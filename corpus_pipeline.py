@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helioquery.llm.common import durable
 from helioquery.llm.langid import UNDETERMINED, identify
 from helioquery.llm.linededup import dedup_lines
 from helioquery.llm.nearcopies import drop_similar
@@ -53,7 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; what each returns is written before the next one reads it, so that no stage runs twice."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs if n == 0 else durable(docs), sf_dir)
     return docs
