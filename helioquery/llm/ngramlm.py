@@ -1,6 +1,6 @@
 """Language-model scoring with Elias-Fano n-gram tries that are sharded over the cluster.
 
-Documents are dealt to slices of bounded size. A slice asks the shards for each of its distinct n-grams once, in sorted
+Runs of documents are written as slices of bounded size. A slice asks the shards for each of its distinct n-grams once, in sorted
 order, and a shard's answer is a number for each question in the same order. A shard sums the questions' counts,
 builds its trie and answers from it; nothing that grows with the corpus is gathered in one place.
 """
@@ -12,11 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, mapped, partitions, text_groups
+from .common import array_groups, durable, mapped, partitions
 
 SLICE_CHARS = 12_000_000
 #: Weight of the lower order: P(v|u) = (c(uv) + PRIOR * P(v)) / (c(u) + PRIOR).
@@ -24,8 +27,8 @@ PRIOR = 20.0
 ADD = 0.1
 #: Bits of a successor's hash within its context.
 CHILD_BITS = 40
-#: Quantisation: 255 steps from 0 down to this log10 probability; code 0 means absent.
-LOWEST = -9.0
+#: Quantisation: the codes 1 to 255 stand for log10 probabilities from 0 down to the least that the counts allow; 0 means absent.
+STEPS = 254
 END = b""
 
 _SELECT = np.array([[([k for k in range(8) if b >> k & 1] + [0] * 8)[n] for n in range(8)] for b in range(256)], dtype=np.int64)
@@ -146,36 +149,63 @@ class Trie:
         return out
 
 
-def quantised(log10: np.ndarray) -> np.ndarray:
-    return (1 + np.clip(np.rint(log10 / LOWEST * 254), 0, 254)).astype(np.uint8)
+def lowest(total: int, prior: float) -> float:
+    """log10 of a probability below which no stored one can lie: one count behind a word that is every token."""
+    return -float(np.log10(total + prior + 1))
 
 
-def restored(codes: np.ndarray) -> np.ndarray:
+def quantised(log10: np.ndarray, low: float) -> np.ndarray:
+    return (1 + np.clip(np.rint(log10 / low * STEPS), 0, STEPS)).astype(np.uint8)
+
+
+def restored(codes: np.ndarray, low: float) -> np.ndarray:
     """Probabilities of codes; 0 for absent."""
-    return np.where(codes > 0, 10.0 ** ((codes.astype(np.float64) - 1) / 254 * LOWEST), 0.0)
+    return np.where(codes > 0, 10.0 ** ((codes.astype(np.float64) - 1) / STEPS * low), 0.0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """One row for each run of rows (id, text, held) of about ``most`` bytes of text: the run's columns, its text compressed."""
+    parts: list[tuple[pa.Array, pa.Array, pa.Array]] = []
+    made, size = TaskContext.get().partitionId() << 32, 0
+
+    def row() -> pa.RecordBatch:
+        ids, held, texts = (pa.concat_arrays(x) for x in zip(*parts))
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
+        one = lambda values: pa.ListArray.from_arrays([0, len(ids)], values)
+        body = zstandard.compress(b"".join(texts.cast(pa.large_binary()).to_pylist()), 3)
+        return pa.RecordBatch.from_arrays([pa.array([made]), one(ids), one(held), one(pa.array(ends[1:])), pa.array([body])], names=["slice", "ids", "held", "ends", "body"])
+
+    for batch in batches:
+        for at, texts in array_groups(batch.column(1), most // 12):
+            texts = pc.fill_null(texts.cast(pa.large_string()), "")
+            own = sum(pc.binary_length(texts).to_pylist())
+            if parts and size + own > most:
+                yield row()
+                parts, size, made = [], 0, made + 1
+            parts.append((batch.column(0).slice(at, len(texts)), batch.column(2).slice(at, len(texts)), texts))
+            size += own
+    if parts:
+        yield row()
 
 
 class Slice:
     """The tokens of a slice's documents as numbers of distinct words; an end stands before the first and after each document."""
 
-    def __init__(self, docs: pa.Table):
-        number: dict[bytes, int] = {END: 0}
-        streams, self.size = [np.zeros(1, dtype=np.int64)], np.zeros(docs.num_rows, dtype=np.int64)
-        for first, texts in text_groups(docs.column("text")):
-            words: list[bytes] = []
-            for k, text in enumerate(texts):
-                own = (text or "").encode("utf-8", "surrogatepass").lower().split()
-                self.size[first + k] = len(own) + 1
-                words += own
-                words.append(END)
-            coded = pa.array(words, pa.binary()).dictionary_encode()
-            local = np.array([number.setdefault(w, len(number)) for w in coded.dictionary.to_pylist()], dtype=np.int64)
-            streams.append(local[coded.indices.to_numpy()])
-        stream = np.concatenate(streams)
+    def __init__(self, row: pa.Table):
+        self.ids, self.held, ends = (row.column(c).combine_chunks().flatten() for c in ("ids", "held", "ends"))
+        offsets = np.concatenate([[0], ends.to_numpy()])
+        texts = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(offsets.tobytes()), pa.py_buffer(zstandard.decompress(row.column("body")[0].as_py())))
+        listed = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = listed.values.dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64) + 1
+        real = codes != (words.index("") + 1 if "" in words else 0)  # what stands outside of blanks at a text's ends
+        ends = np.concatenate([[0], np.cumsum(real)])[listed.offsets.to_numpy()]
+        self.size = np.diff(ends) + 1
+        stream = np.insert(codes[real], ends, 0)  # an end before the first and after each
         self.context, self.token = stream[:-1], stream[1:]
-        self.train = np.repeat(~docs.column("held").to_numpy(), self.size)
-        mask = (1 << 63) - 1
-        self.hash = np.array([xxhash.xxh64_intdigest(w, 7) & mask for w in number], dtype=np.uint64)
+        self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False), self.size)
+        mask, digest = (1 << 63) - 1, xxhash.xxh64_intdigest
+        self.hash = np.array([digest(END, 7) & mask, *(digest(w, 7) & mask for w in words)], dtype=np.uint64)
         self.order = np.argsort(self.hash, kind="stable")
 
     def words(self, shards: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -202,10 +232,11 @@ class Slice:
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    return b"".join([np.array([a.nbytes for a in arrays], "<i8").tobytes(), *(a.tobytes() for a in arrays)])
+    return zlib.compress(b"".join([np.array([a.nbytes for a in arrays], "<i8").tobytes(), *(a.tobytes() for a in arrays)]), 1)
 
 
 def _unpacked(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    blob = zlib.decompress(blob)
     out, at = [], 8 * len(kinds)
     for kind, n in zip(kinds, np.frombuffer(blob, "<i8", len(kinds)).tolist()):
         out.append(np.frombuffer(blob, kind, n // np.dtype(kind).itemsize, at))
@@ -223,14 +254,14 @@ def _counts(replies: pa.Table, words: Slice, shards: int) -> np.ndarray:
     return count
 
 
-MESSAGE = "slice int, shard int, step int, body binary, tokens long, types long"
+MESSAGE = "slice long, shard int, step int, body binary, tokens long, types long"
 
 
 def _message(slice_no: int, rows: list[tuple]) -> pa.Table:
     shard, step, body, tokens, types = (list(x) for x in zip(*rows)) if rows else ([],) * 5
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
     columns = [pa.array(x, k) for x, k in zip((shard, step, body, tokens, types), kinds)]
-    return pa.Table.from_arrays([pa.array([slice_no] * len(rows), pa.int32()), *columns], names=["slice", "shard", "step", "body", "tokens", "types"])
+    return pa.Table.from_arrays([pa.array([slice_no] * len(rows), pa.int64()), *columns], names=["slice", "shard", "step", "body", "tokens", "types"])
 
 
 def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = SLICE_CHARS, prior: float = PRIOR) -> DataFrame:
@@ -238,23 +269,24 @@ def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: st
 
     :return: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), scores in log10.
 
-    Null and wordless texts are one end token. Repeated rows each count and are scored; rows without id are spread like
+    Null and wordless texts are one end token. Repeated rows each count and are scored; rows without id are rows like
     any; very long texts stand in a slice whole. An empty table gives an empty table; other columns are ignored. Words
     are known by 63 bits of their hash, successors within a context by 40; probabilities of pairs are kept in 255 steps.
     """
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(held), F.lit(False)).alias("held"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-chars // slice_chars))
-    width = max(partitions(spark), shards)
-    mixed = F.pmod(F.xxhash64("id", F.length("text")), F.lit(shards)).cast("int")
-    dealt = rows.withColumn("slice", mixed).repartition(width, "slice")
-
-    def ask_words(key: tuple, table: pa.Table) -> pa.Table:
-        own = Slice(table)
-        seen = np.bincount(own.token, own.train, minlength=len(own.hash)).astype(np.int64)
-        body = [(k, 0, _packed(own.hash[n], seen[n]), 0, 0) for k, n in own.words(shards) if len(n)]
-        return _message(key[0].as_py(), body)
+    packed = durable(rows.mapInArrow(lambda batches: slices(batches, slice_chars), f"slice long, ids array<{kind}>, held array<boolean>, ends array<bigint>, body binary"))
+    number, size = packed.agg(F.count("*"), F.coalesce(F.sum(F.element_at("ends", -1)), F.lit(0))).first()
+    shards = max(1, -(-size // slice_chars))
+    dealt = packed.repartition(max(partitions(spark), number), "slice")
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                own = Slice(pa.Table.from_batches([batch.slice(n, 1)]))
+                seen = np.bincount(own.token, own.train, minlength=len(own.hash)).astype(np.int64)
+                body = [(k, 0, _packed(own.hash[n], seen[n]), 0, 0) for k, n in own.words(shards) if len(n)]
+                yield from _message(batch.column("slice")[n].as_py(), body).combine_chunks().to_batches()
 
     def tell_words(key: tuple, table: pa.Table) -> pa.Table:
         slices, asked = table.column("slice").to_pylist(), [_unpacked(b, "<u8", "<i8") for b in table.column("body").to_pylist()]
@@ -268,8 +300,9 @@ def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: st
             out.append(_message(s, [(key[0].as_py(), 1, body, *sums)]))
         return pa.concat_tables(out)
 
-    counted = durable(dealt.groupBy("slice").applyInArrow(ask_words, MESSAGE).groupBy("shard").applyInArrow(tell_words, MESSAGE))
+    counted = durable(packed.mapInArrow(ask_words, MESSAGE).groupBy("shard").applyInArrow(tell_words, MESSAGE))
     total, types = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    low = lowest(total, prior)
 
     def ask_pairs(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Slice(table)
@@ -288,8 +321,8 @@ def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: st
     def tell_pairs(key: tuple, table: pa.Table) -> pa.Table:
         slices, asked = table.column("slice").to_pylist(), []
         for body in table.column("body").to_pylist():
-            h, c, many, low, top, seen = _unpacked(body, "<u8", "<i8", "<u4", "<u4", "u1", "<u4")
-            asked.append((h, c, many, top.astype(np.uint64) << np.uint64(32) | low, seen))
+            h, c, many, bottom, top, seen = _unpacked(body, "<u8", "<i8", "<u4", "<u4", "u1", "<u4")
+            asked.append((h, c, many, top.astype(np.uint64) << np.uint64(32) | bottom, seen))
         contexts, first = np.unique(np.concatenate([x[0] for x in asked]), return_index=True)
         times = np.concatenate([x[1] for x in asked])[first]
         rank = np.concatenate([np.repeat(np.searchsorted(contexts, x[0]), x[2]) for x in asked])
@@ -297,9 +330,9 @@ def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: st
         seen = np.bincount(inverse, np.concatenate([x[4] for x in asked]), minlength=len(keys))
         keys, seen = keys[seen > 0], seen[seen > 0]
         above = (keys >> np.uint64(CHILD_BITS)).astype(np.int64)
-        codes = quantised(np.log10(seen / (times[above] + prior)))
+        codes = quantised(np.log10(seen / (times[above] + prior)), low)
         trie = Trie(Trie.build(contexts, np.searchsorted(above, np.arange(len(contexts) + 1)), keys, codes))
-        out = [_message(s, [(key[0].as_py(), 2, trie.find(np.repeat(h, many), v).tobytes(), 0, 0)]) for s, (h, _, many, v, _) in zip(slices, asked)]
+        out = [_message(s, [(key[0].as_py(), 2, zlib.compress(trie.find(np.repeat(h, many), v).tobytes(), 1), 0, 0)]) for s, (h, _, many, v, _) in zip(slices, asked)]
         return pa.concat_tables(out)
 
     pairs = dealt.groupBy("slice").cogroup(counted.groupBy("slice")).applyInArrow(ask_pairs, MESSAGE).groupBy("shard").applyInArrow(tell_pairs, MESSAGE)
@@ -310,13 +343,14 @@ def score_texts(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: st
         count = _counts(replies, own, shards)
         shard, _, _, _, place = own.pairs(count, total, shards)
         told = {r["shard"]: r["body"] for r in replies.to_pylist() if r["step"] == 2}
-        codes = np.frombuffer(b"".join(told[k] for k in np.unique(shard).tolist()), dtype=np.uint8)
+        codes = np.frombuffer(b"".join(zlib.decompress(told[k]) for k in np.unique(shard).tolist()), dtype=np.uint8)
         base = (count + ADD) / (total + ADD * (types + 1))
         back = prior * base[own.token] / (count[own.context] + prior)
-        doc = np.repeat(np.arange(table.num_rows), own.size)
-        sums = [np.bincount(doc, x, minlength=table.num_rows) for x in (count[own.token] > 0, np.log10(base)[own.token], np.log10(restored(codes[place]) + back))]
+        n = len(own.ids)
+        doc = np.repeat(np.arange(n), own.size)
+        sums = [np.bincount(doc, x, minlength=n) for x in (count[own.token] > 0, np.log10(base)[own.token], np.log10(restored(codes[place], low) + back))]
         return pa.Table.from_arrays(
-            [table.column("id"), table.column("held"), pa.array(own.size), pa.array(sums[0].astype(np.int64)), pa.array(np.full(table.num_rows, total, dtype=np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+            [own.ids, own.held, pa.array(own.size), pa.array(sums[0].astype(np.int64)), pa.array(np.full(n, total, dtype=np.int64)), pa.array(sums[1]), pa.array(sums[2])],
             names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
