@@ -16,4 +16,10 @@ MID_MONTH_DAYS = (15, 45, 74, 105, 135, 162, 198, 228, 258, 288, 319, 349)
 NODATA = -9999.0
 GRID_ORIGIN, TILE_SIZE_M, TILE_BUFFER_M = (315000.0, 4295000.0), 2000.0, 300.0
 BENCHMARK_KWH_PER_KWP, BENCHMARK_TOLERANCE = 1150.0, 0.15
+SEVERAL_PLANES = 3
+SPOT_MIN_AREA_M2 = 50.0
+PLANE_TOLERANCE = 1
+#: Fitting methods of the spot check, with the facets that each may fit.
+METHODS = {"multiplane": 4, "ransac": 1}
+ROOF_TYPES = ("flat", "gable", "hip", "complex")
 REASONS = ("no_plane_fit", "too_steep", "north_facing", "low_insolation", "too_small")

@@ -10,9 +10,10 @@ VIEWS = {
     "planes": """select l_orderkey as building_id, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as int) as plane_id,
         case when l_partkey % 25 = 0 then null else l_quantity end as tilt_deg, cast((l_suppkey * 37 + l_partkey * 11) % 360 as double) as aspect_deg,
         cast(700 + (l_partkey % 100) * 10 as double) as poa_clear_sky_kwh_m2, cast(round(l_extendedprice / 500) * 4 as double) as plane_area_m2,
-        cast((l_partkey % 6) * 4 as double) as obstruction_area_m2 from {lineitem} where l_linenumber <= 4""",
+        cast((l_partkey % 6) * 4 as double) as obstruction_area_m2, cast(count(*) over (partition by l_orderkey) as int) as n_planes,
+        l_orderkey % 9 = 0 as low_confidence, cast(l_orderkey % 5 as double) / 8 as superstructure_frac, cast(60 + l_orderkey % 200 as double) as footprint_area_m2 from {lineitem}""",
     "buildings": """select o_orderkey as building_id, cast(315000 + ((o_orderkey * 7919) % 2001) * 10 as double) as x, cast(4295000 + ((o_custkey * 104729) % 2501) * 10 as double) as y,
-        cast(o_orderkey % 90 as double) as tilt_deg, cast((o_custkey * 13) % 360 as double) as aspect_deg, cast(600 + (o_orderkey % 90) * 10 as double) as poa_clear_sky_kwh_m2,
+        cast(o_orderkey % 90 as double) as tilt_deg, cast((o_custkey * 13) % 360 as double) as aspect_deg, cast(600 + (o_custkey % 90) * 10 as double) as poa_clear_sky_kwh_m2,
         cast(20 + o_custkey % 300 as double) as footprint_area_m2, o_orderkey % 4 <> 0 as usable, cast(o_orderkey % 120 as double) as energy_density,
         cast(o_orderkey % 5 + 1 as int) as n_planes from {orders}""",
     "tracts": """select lpad(cast(11001000000 + n_nationkey * 100 as varchar(20)), 11, '0') as GEOID, cast(315000 + (n_nationkey % 5) * 4000 as double) as minx,
@@ -25,7 +26,7 @@ VIEWS = {
     "cloud": """select l_orderkey as building_id, l_quantity as x, cast(l_suppkey as double) as y, round(l_extendedprice) / 1000 as z,
         cast(l_partkey % 3 as int) as plane_id from {lineitem}""",
     "strata": """select lpad(cast(11001000000 + c_nationkey * 100 as varchar(20)), 11, '0') as FIP, case when c_nationkey % 12 = 0 then 0e0 else 10 * greatest(c_acctbal, 0) end as income,
-        abs(c_acctbal) as cost from {customer}""",
+        abs(c_acctbal) as cost, case when c_custkey % 4 <> 0 then abs(c_acctbal) / 2 end as gas, case when c_nationkey <> 3 then 100e0 end as fuel from {customer}""",
     "spots": """select s_suppkey as id, case when s_suppkey % 7 = 0 then null else cast(s_suppkey % 30 as double) end as tilt_deg, cast(30 + s_suppkey % 90 as double) as footprint_area_m2,
         cast(s_suppkey % 4 as int) + 1 as n_planes, n_name as area from {supplier} join {nation} on s_nationkey = n_nationkey""",
     "marks": """select l.doc_id as building_id, cast(1 + l.doc_id % 6 as int) as label_planes, cast(1 + d.n_chars % 4 as int) as model_planes,

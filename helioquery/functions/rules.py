@@ -36,10 +36,32 @@ def low_confidence(ratio: Column, pixels: Column) -> Column:
     return (ratio < 0.5) | (pixels < 20)
 
 
-def roof_type(planes: Column, tilt: Column) -> Column:
-    """Archetype by facet count and flatness."""
-    flat = tilt < K.FLAT_THRESHOLD_DEG
-    return F.when(planes >= 3, F.when(flat, "flat").otherwise("complex")).otherwise(F.when(flat, "flat").otherwise(F.when(planes == 2, "gable").otherwise("hip")))
+def roof_type(planes: Column, name: Column) -> Column:
+    """Archetype by facet count and roof class; a roof without a plane has none, which is an error."""
+    several = planes >= K.SEVERAL_PLANES
+    known = F.when(name == "flat", F.when(several, "complex").otherwise("flat")).otherwise(F.when(several, "hip").otherwise("gable"))
+    return F.when(planes >= 1, known).otherwise(F.raise_error(F.concat(F.lit("unfittable roof has no roof type: n_planes "), F.coalesce(planes.cast("string"), F.lit("null")))).cast("string"))
+
+
+def fitted_type(planes: Column, name: Column) -> Column:
+    """The archetype, or ``unfittable`` where no plane was fitted."""
+    return F.when(planes == 0, "unfittable").otherwise(roof_type(planes, name))
+
+
+def plane_count(text: Column) -> Column:
+    """A whole number of 1 or more, as text or number; anything else NULL."""
+    number = text.try_cast("double")
+    return F.when((number >= 1) & (number < 1e9) & (number == F.floor(number)), number.cast("int"))
+
+
+def outcome(label: Column, model: Column) -> Column:
+    """Name of a (label, model) pair of flags."""
+    return F.when(label & model, "hit").when(label & ~model, "miss").when(~label & model, "false_positive").when(~label & ~model, "true_negative")
+
+
+def city_id(row: Column, col: Column, building: Column) -> Column:
+    """Building ids are unique within a tile; this one is so in the city."""
+    return F.concat_ws("_", row, col, building)
 
 
 def within_tolerance(value: Column, reference: float = K.BENCHMARK_KWH_PER_KWP, tolerance: float = K.BENCHMARK_TOLERANCE) -> Column:

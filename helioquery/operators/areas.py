@@ -33,10 +33,11 @@ def tract_rollup(buildings: DataFrame, tracts: DataFrame) -> DataFrame:
     return out.withColumn("pct_usable", F.col("n_usable") * 100 / F.col("n_buildings"))
 
 
-def energy_burden(strata: DataFrame) -> DataFrame:
-    """Cost over income of each tract, NULL without income."""
-    out = strata.groupBy(rules.geoid(F.col("FIP")).alias("GEOID")).agg(F.sum("cost").alias("cost"), F.sum("income").alias("income"))
-    return out.select("GEOID", F.try_divide("cost", F.when(F.col("income") > 0, F.col("income"))).alias("energy_burden"))
+def energy_burden(strata: DataFrame, costs: tuple[str, ...] = ("cost",)) -> DataFrame:
+    """Cost over income of each tract, NULL without income; a cost that a stratum lacks leaves its others standing."""
+    out = strata.groupBy(rules.geoid(F.col("FIP")).alias("GEOID")).agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in costs), F.sum("income").alias("income"))
+    total = sum((F.col(c) for c in costs[1:]), F.col(costs[0]))
+    return out.select("GEOID", F.try_divide(total, F.when(F.col("income") > 0, F.col("income"))).alias("energy_burden"))
 
 
 def attach_equity(tracts: DataFrame, people: DataFrame, burden: DataFrame) -> DataFrame:
@@ -78,8 +79,12 @@ def halo(points: DataFrame) -> DataFrame:
     return points.withColumn("tile_col", F.explode(near("x", K.GRID_ORIGIN[0]))).withColumn("tile_row", F.explode(near("y", K.GRID_ORIGIN[1])))
 
 
-def merge_tiles(*tiles: DataFrame) -> DataFrame:
-    """Union of tile results by name, absent columns NULL; tiles of another CRS are refused."""
+def merge_tiles(*tiles: DataFrame, empty: DataFrame | None = None) -> DataFrame:
+    """Union of tile results by name, absent columns NULL; tiles of another CRS are refused. No tile at all gives ``empty``, a frame of the results' schema."""
+    if not tiles:
+        if empty is None:
+            raise ValueError("no tiles, and no empty frame that tells their schema")
+        return empty.limit(0)
     crs = {f.metadata.get("crs") for t in tiles for f in t.schema if f.name == "rings"} - {None}
     if len(crs) > 1:
         raise ValueError(f"tiles differ in CRS: {sorted(crs)}")

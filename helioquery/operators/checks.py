@@ -19,13 +19,12 @@ def compared(labels: DataFrame) -> DataFrame:
     want = F.least("label_planes", F.lit(K.MAX_PLANES))
     diff = F.col("model_planes") - want
     hit, said = F.col("found"), F.col("obstruction")
-    outcome = F.when(said.isNull(), None).when(said & hit, "hit").when(said, "missed").when(hit, "false_alarm").otherwise("clear")
-    return out.withColumns({"plane_diff": diff, "agree_exact": diff == 0, "agree_1": F.abs(diff) <= 1, "obstruction_outcome": outcome})
+    return out.withColumns({"plane_diff": diff, "agree_exact": diff == 0, "agree_1": F.abs(diff) <= K.PLANE_TOLERANCE, "obstruction_outcome": rules.outcome(said, hit)})
 
 
 def spot_summary(comparison: DataFrame) -> DataFrame:
     out = [F.count("*").alias("n"), F.count_if("agree_exact").alias("n_exact"), F.count_if("agree_1").alias("n_within_1")]
-    return comparison.agg(*out, *(F.count_if(F.col("obstruction_outcome") == o).alias("n_" + o) for o in ("hit", "missed", "false_alarm", "clear")))
+    return comparison.agg(*out, *(F.count_if(F.col("obstruction_outcome") == o).alias("n_" + o) for o in ("hit", "miss", "false_positive", "true_negative")))
 
 
 def duplicate_labels(labels: DataFrame, known: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def lsq_planes(points: DataFrame, key: str = "building_id") -> DataFrame:
     """Least-squares plane of each group by centred normal equations; NULL where they are singular."""
     p = points.groupBy(key).agg(F.count("*").alias("n"), *(F.avg(c).alias("m" + c) for c in "xyz"), *(F.covar_pop(a, b).alias(a + b) for a, b in ("xx", "yy", "xy", "xz", "yz")))
     det = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
-    det = F.when(F.abs(det) > 1e-9, det)
+    det = F.when(det > F.col("xx") * F.col("yy") * 1e-9, det)
     a, b = (F.col("xz") * F.col("yy") - F.col("yz") * F.col("xy")) / det, (F.col("yz") * F.col("xx") - F.col("xz") * F.col("xy")) / det
     return p.select(key, "n", a.alias("a"), b.alias("b"), (F.col("mz") - a * F.col("mx") - b * F.col("my")).alias("c"))
 

@@ -68,19 +68,22 @@ def percentile_rank(df: DataFrame, value: str, eligible: Column, name: str = "su
 def collapse(planes: DataFrame) -> DataFrame:
     """One row per building from its planes: sums, the dominant plane, the area gate, then energy density and rank.
 
-    Dominant is the largest usable plane; where none is usable it is plane 0 and tells the reason.
+    Dominant is the largest usable plane; where none is usable it is plane 0 and tells the reason. Density is energy over
+    the footprint's area; it is ranked to nine decimals, so that the order of summation bears on no tie.
     """
     order = F.struct(F.when(F.col("usable"), 0).otherwise(1), F.when(F.col("usable"), -F.col("usable_area_m2")).otherwise(0.0), "plane_id")
     top = F.min_by(F.struct("plane_id", "tilt_deg", "aspect_deg", "roof_class", "unsuitable_reason", "poa_real_kwh_m2"), order).alias("top")
-    sums = [F.sum(c).alias(c) for c in ("plane_area_m2", "usable_area_m2", "capacity_kw", "annual_energy_kwh", "annual_co2_kg")]
-    out = planes.groupBy("building_id").agg(F.count("*").cast("int").alias("n_planes"), F.bool_or("usable").alias("usable"), top, *sums)
+    sums = [F.sum(c).alias(c) for c in ("usable_area_m2", "capacity_kw", "annual_energy_kwh", "annual_co2_kg")]
+    same = [F.min_by(c, "plane_id").alias(c) for c in ("n_planes", "low_confidence", "superstructure_frac", "footprint_area_m2")]
+    out = planes.groupBy("building_id").agg(*same, F.bool_or("usable").alias("usable"), top, *sums)
     small = F.col("usable") & (F.col("usable_area_m2") < K.MIN_USABLE_M2)
     out = out.withColumn("__small", small)
     reason = F.when(F.col("__small"), "too_small").when(F.col("usable"), F.lit(None).cast("string")).otherwise(F.col("top.unsuitable_reason"))
-    out = out.withColumns({"unsuitable_reason": reason, "dominant_plane": F.col("top.plane_id"), "tilt_deg": F.col("top.tilt_deg"), "aspect_deg": F.col("top.aspect_deg"), "roof_class": F.col("top.roof_class")})
+    out = out.withColumns({"unsuitable_reason": reason, "dominant_plane": F.col("top.plane_id"), "tilt_deg": F.col("top.tilt_deg"), "aspect_deg": F.col("top.aspect_deg"), "roof_class": F.col("top.roof_class"), "poa_real_kwh_m2": F.col("top.poa_real_kwh_m2")})
     out = out.withColumns({c: F.when(F.col("__small"), 0.0).otherwise(F.col(c)) for c in ("usable_area_m2", "capacity_kw", "annual_energy_kwh", "annual_co2_kg")})
-    out = out.withColumns({"usable": F.col("usable") & ~F.col("__small"), "energy_density": F.try_divide("annual_energy_kwh", "plane_area_m2")})
-    return percentile_rank(out.drop("top", "__small"), "energy_density", F.col("usable_area_m2") > 0)
+    density = F.try_divide("annual_energy_kwh", "footprint_area_m2")
+    out = out.withColumns({"usable": F.col("usable") & ~F.col("__small"), "energy_density_kwh_m2": density, "__density": F.round(density, 9)})
+    return percentile_rank(out.drop("top", "__small"), "__density", F.col("usable_area_m2") > 0).drop("__density")
 
 
 def score_buildings(planes: DataFrame) -> DataFrame:

@@ -37,12 +37,12 @@ a as (select *, case when reason is null then greatest(0, plane_area_m2 - obstru
 y as (select *, usable_area_m2 * 0.2e0 as capacity_kw, case when usable_area_m2 = 0 then 0e0 else usable_area_m2 * poa_clear_sky_kwh_m2 * 0.75e0 * 0.2e0 * 0.8e0 end as kwh from a)"""
 RANK = "case when {ok} then (rank() over (partition by {ok} order by {v}) + (count(*) over (partition by {ok}, {v}) - 1) / 2e0) * 100e0 / count(*) over (partition by {ok}) else 0e0 end"
 BUILT = f""", {UP},
-g as (select building_id, cast(count(*) as int) as n_planes, bool_or(reason is null) as any_ok, sum(plane_area_m2) as plane_area, sum(usable_area_m2) as ua, sum(capacity_kw) as kw, sum(kwh) as kwh,
-  arg_min({{'p': plane_id, 't': tilt_deg, 'a': aspect_deg, 'c': roof_class, 'r': reason}}, case when reason is null then -usable_area_m2 * 1000 - 1000 + plane_id else plane_id end) as top from y group by building_id),
+g as (select building_id, min(n_planes) as n_planes, bool_or(reason is null) as any_ok, bool_or(low_confidence) as low_confidence, min(superstructure_frac) as superstructure_frac, min(footprint_area_m2) as footprint_area_m2, sum(usable_area_m2) as ua, sum(capacity_kw) as kw, sum(kwh) as kwh,
+  arg_min({{'p': plane_id, 't': tilt_deg, 'a': aspect_deg, 'c': roof_class, 'r': reason, 'v': poa_clear_sky_kwh_m2 * 0.75e0}}, case when reason is null then -usable_area_m2 * 1000 - 1000 + plane_id else plane_id end) as top from y group by building_id),
 s as (select *, any_ok and ua < 30 as small from g),
 b as (select building_id, n_planes, any_ok and not small as usable, case when small then 'too_small' when any_ok then null else top.r end as unsuitable_reason, top.p as dominant_plane,
   top.t as tilt_deg, top.a as aspect_deg, top.c as roof_class, case when small then 0e0 else ua end as usable_area_m2, case when small then 0e0 else kw end as capacity_kw,
-  case when small then 0e0 else kwh end as annual_energy_kwh, case when small then 0e0 else kwh end / nullif(plane_area, 0) as density, plane_area from s),
+  case when small then 0e0 else kwh end as annual_energy_kwh, case when small then 0e0 else kwh end / nullif(footprint_area_m2, 0) as density, low_confidence, superstructure_frac, footprint_area_m2, top.v as poa_real_kwh_m2 from s),
 built as (select *, {RANK.format(ok="(usable_area_m2 > 0 and density is not null)", v="round(density, 9)")} as suitability from b)"""
 
 
@@ -54,10 +54,19 @@ def built(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.score_buildings(fixture(spark, sf, "planes"))
 
 
-@query(views("select building_id, n_planes, usable, unsuitable_reason, dominant_plane, roof_class, round(usable_area_m2, 6) as usable_area_m2, round(capacity_kw, 6) as capacity_kw, round(annual_energy_kwh, 3) as annual_energy_kwh from built"), "planes")
+BUILT_COLUMNS = ("building_id", "n_planes", "low_confidence", "superstructure_frac", "footprint_area_m2", "usable", "unsuitable_reason", "dominant_plane", "tilt_deg", "aspect_deg", "roof_class")
+BUILT_SQL = f"select {', '.join(BUILT_COLUMNS)}, round(poa_real_kwh_m2, 6) as poa_real_kwh_m2, round(usable_area_m2, 6) as usable_area_m2, round(capacity_kw, 6) as capacity_kw, round(annual_energy_kwh + 1e-5, 3) as annual_energy_kwh, round(density + 1e-9, 6) as energy_density_kwh_m2, round(suitability, 6) as suitability from built"
+
+
+def built_rows(df: DataFrame) -> DataFrame:
+    df = df.select(*BUILT_COLUMNS, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", F.col("annual_energy_kwh") + 1e-5, F.col("energy_density_kwh_m2") + 1e-9, "suitability")  # past exact halves
+    df = df.toDF(*BUILT_COLUMNS, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "annual_energy_kwh", "energy_density_kwh_m2", "suitability")
+    return r6(r6(df, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "energy_density_kwh_m2", "suitability"), "annual_energy_kwh", digits=3)
+
+
+@query(views(BUILT_SQL), "planes")
 def q_score_buildings(spark, sf):
-    out = built(spark, sf).select("building_id", "n_planes", "usable", "unsuitable_reason", "dominant_plane", "roof_class", "usable_area_m2", "capacity_kw", "annual_energy_kwh")
-    return r6(r6(out, "usable_area_m2", "capacity_kw"), "annual_energy_kwh", digits=3)
+    return built_rows(built(spark, sf))
 
 
 @query(f"select building_id, plane_id, {CLASS} as roof_class, {REASON} as unsuitable_reason, ({REASON}) is null as usable from planes", "planes")
@@ -107,12 +116,12 @@ def q_city_rerank(spark, sf):
 PLACED = ", placed as (select b.building_id, min(t.GEOID) as GEOID from buildings b join tracts t on b.x between t.minx and t.maxx and b.y between t.miny and t.maxy group by 1)"
 
 
-@query(PLACED + " select GEOID, count(*) as n_buildings, count(*) filter (where usable) as n_usable, median(energy_density) as median_suitability, sum(footprint_area_m2) as usable_area_m2, count(*) filter (where usable) * 100e0 / count(*) as pct_usable from placed join buildings using (building_id) group by 1", "buildings", "tracts")
+@query(PLACED + " select GEOID, count(*) as n_buildings, count(*) filter (where usable) as n_usable, median(energy_density) as median_suitability, sum(footprint_area_m2) as usable_area_m2, sum(footprint_area_m2) * 2 as capacity_kw, sum(poa_clear_sky_kwh_m2) as annual_energy_kwh, sum(aspect_deg) as annual_co2_kg, count(*) filter (where usable) * 100e0 / count(*) as pct_usable from placed join buildings using (building_id) group by 1", "buildings", "tracts")
 def q_tract_rollup(spark, sf):
     b = fixture(spark, sf, "buildings").withColumnsRenamed({"energy_density": "suitability", "footprint_area_m2": "usable_area_m2"})
-    b = b.withColumns({c: F.lit(0.0) for c in ("capacity_kw", "annual_energy_kwh", "annual_co2_kg")})
+    b = b.withColumns({"capacity_kw": F.col("usable_area_m2") * 2, "annual_energy_kwh": F.col("poa_clear_sky_kwh_m2"), "annual_co2_kg": F.col("aspect_deg")})
     out = areas.tract_rollup(b, fixture(spark, sf, "tracts"))
-    return out.select("GEOID", "n_buildings", "n_usable", "median_suitability", "usable_area_m2", F.col("pct_usable").cast("double").alias("pct_usable"))
+    return out.withColumn("pct_usable", F.col("pct_usable").cast("double"))
 
 
 BURDEN = "burden as (select FIP as GEOID, sum(cost) / case when sum(income) > 0 then sum(income) end as energy_burden from strata group by 1)"
@@ -143,15 +152,15 @@ def q_class_counts(spark, sf):
     return areas.classify_equity(equity(spark, sf)).groupBy("equity_class").agg(F.count("*").alias("n"))
 
 
-@query(f", {BURDEN} select GEOID, round(energy_burden, 9) as energy_burden from burden", "strata")
+@query(", c as (select FIP as GEOID, sum(income) as income, coalesce(sum(cost), 0) as a, coalesce(sum(gas), 0) as b, coalesce(sum(fuel), 0) as c from strata group by 1) select GEOID, round(case when income > 0 then (a + b + c) / income end, 9) as energy_burden from c", "strata")
 def q_energy_burden(spark, sf):
-    return r6(areas.energy_burden(fixture(spark, sf, "strata")), "energy_burden", digits=9)
+    return r6(areas.energy_burden(fixture(spark, sf, "strata"), ("cost", "gas", "fuel")), "energy_burden", digits=9)
 
 
-@query("select lpad(cast(n_nationkey as varchar), 2, '0') || '001' || lpad(cast(n_regionkey as varchar), 6, '0') as GEOID, cast(n_nationkey * 10 as double) as population, case when n_nationkey % 3 = 0 then null else cast(n_nationkey as double) end as households, cast(null as double) as median_income from nation", )
+@query("select lpad(cast(n_nationkey as varchar), 2, '0') || '001' || lpad(cast(n_regionkey as varchar), 6, '0') as GEOID, cast(n_nationkey * 10 as double) as population, case when n_nationkey % 3 = 0 then null else cast(n_nationkey as double) end as households, case when n_nationkey % 4 <> 0 then 1000e0 + n_nationkey end as median_income from nation")
 def q_acs_parse(spark, sf):
     n = spark.read.parquet(f"{sf}/nation.parquet")
-    row = F.concat(F.lit('["x","'), (F.col("n_nationkey") * 10).cast("string"), F.lit('","'), F.when(F.col("n_nationkey") % 3 == 0, "-666666666").otherwise(F.col("n_nationkey").cast("string")), F.lit('","n/a","'), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit('","001","'), F.lpad(F.col("n_regionkey").cast("string"), 6, "0"), F.lit('"]'))
+    row = F.concat(F.lit('["x","'), (F.col("n_nationkey") * 10).cast("string"), F.lit('","'), F.when(F.col("n_nationkey") % 3 == 0, "-666666666").otherwise(F.col("n_nationkey").cast("string")), F.lit('","'), F.when(F.col("n_nationkey") % 4 == 0, "n/a").otherwise((F.col("n_nationkey") + 1000).cast("string")), F.lit('","'), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit('","001","'), F.lpad(F.col("n_regionkey").cast("string"), 6, "0"), F.lit('"]'))
     head = F.lit('[["NAME","B01003_001E","B25003_001E","B19013_001E","state","county","tract"],')
     return checks.census_rows(n.select(F.concat(head, row, F.lit("]")).alias("body")))
 
@@ -242,26 +251,20 @@ def q_overview_pyramid(spark, sf):
     return r6(raster.overviews(fixture(spark, sf, "pixels"), 3), "z")
 
 
-LSQ = ", m as (select building_id, count(*) as n, avg(x) as mx, avg(y) as my, avg(z) as mz, avg(x * x) - avg(x) * avg(x) as xx, avg(y * y) - avg(y) * avg(y) as yy, avg(x * y) - avg(x) * avg(y) as xy, avg(x * z) - avg(x) * avg(z) as xz, avg(y * z) - avg(y) * avg(z) as yz from cloud group by 1), l as (select *, (xz * yy - yz * xy) / (xx * yy - xy * xy) as a, (yz * xx - xz * xy) / (xx * yy - xy * xy) as b from m where n >= 6 and xx * yy - xy * xy > 1), p as (select building_id, n, a, b, mz - a * mx - b * my as c from l)"
-
-
-def lsq(spark, sf):
-    cloud = fixture(spark, sf, "cloud")
-    good = cloud.groupBy("building_id").agg(F.count("*").alias("k"), (F.covar_pop("x", "x") * F.covar_pop("y", "y") - F.covar_pop("x", "y") ** 2).alias("det")).where("k >= 6 and det > 1")
-    return raster.lsq_planes(cloud).join(good.select("building_id"), "building_id", "left_semi")
+LSQ = ", m as (select building_id, count(*) as n, avg(x) as mx, avg(y) as my, avg(z) as mz, covar_pop(x, x) as xx, covar_pop(y, y) as yy, covar_pop(x, y) as xy, covar_pop(x, z) as xz, covar_pop(y, z) as yz from cloud group by 1), l as (select *, case when xx * yy - xy * xy > 1e-9 * xx * yy then xx * yy - xy * xy end as det from m), p as (select building_id, n, (xz * yy - yz * xy) / det as a, (yz * xx - xz * xy) / det as b, mz - (xz * yy - yz * xy) / det * mx - (yz * xx - xz * xy) / det * my as c from l)"
 
 
-@query(LSQ + " select building_id, n, round(a, 5) as a, round(b, 5) as b, round(c, 5) as c from p", "cloud")
+@query(LSQ + " select building_id, n, round(a + 1e-6, 3) as a, round(b + 1e-6, 3) as b, round(c + 1e-6, 3) as c from p", "cloud")
 def q_lsq_plane(spark, sf):
-    return r6(lsq(spark, sf), "a", "b", "c", digits=5)
+    return r6(raster.lsq_planes(fixture(spark, sf, "cloud")).withColumns({k: F.col(k) + 1e-6 for k in "abc"}), "a", "b", "c", digits=3)  # past exact halves
 
 
-@query(LSQ + " select building_id, round(sqrt(avg(pow(z - a * x - b * y - c, 2))), 5) as rmse, count(*) as n from cloud join p using (building_id) group by 1", "cloud")
+@query(LSQ + " select building_id, round(sqrt(avg(pow(z - a * x - b * y - c, 2))), 4) as rmse, round(100 * avg(case when abs(z - a * x - b * y - c) <= 0.5e0 then 1e0 when a is not null then 0e0 end), 4) as pct_within, count(a) as n from cloud join p using (building_id) where n <> 3 group by 1", "cloud")
 def q_self_consistency(spark, sf):
-    planes = lsq(spark, sf).select("building_id", F.lit(0).alias("plane_id"), "a", "b", "c")
-    cloud = fixture(spark, sf, "cloud").join(planes.select("building_id"), "building_id", "left_semi").drop("plane_id")
-    off = cloud.join(planes, "building_id").withColumn("off", F.col("z") - F.col("a") * F.col("x") - F.col("b") * F.col("y") - F.col("c"))
-    return r6(raster.self_consistency(off), "rmse", digits=5).select("building_id", "rmse", "n")
+    """Groups of three points lie on their plane up to rounding noise; the tolerance is not asked of those."""
+    planes = raster.lsq_planes(fixture(spark, sf, "cloud")).where("n <> 3").select("building_id", "a", "b", "c")
+    off = fixture(spark, sf, "cloud").join(planes, "building_id").withColumn("off", F.col("z") - F.col("a") * F.col("x") - F.col("b") * F.col("y") - F.col("c"))
+    return r6(raster.self_consistency(off), "rmse", "pct_within", digits=4)
 
 
 @query("""select building_id, x, y, z, arg_min(plane_id, k) as plane_id, round(arg_min(off, k), 6) as off from
@@ -283,17 +286,18 @@ def q_superstructure_split(spark, sf):
     return fixture(spark, sf, "cloud").groupBy("building_id", "plane_id").agg(F.count("*").alias("n"), F.median(F.col("z") - 30).alias("m")).select("building_id", "plane_id", ((F.col("n") < 25) & (F.col("m") > 0.5) & (F.col("plane_id") > 0)).alias("dropped"))
 
 
-TYPE = "case when n_planes >= 3 then case when tilt_deg < 10 then 'flat' else 'complex' end when tilt_deg < 10 then 'flat' when n_planes = 2 then 'gable' else 'hip' end"
+#: Facets and class to archetype, as a table: one or two planes, three or more.
+TYPE = f"(case when ({CLASS}) = 'flat' then ['flat', 'complex'] else ['gable', 'hip'] end)[1 + cast(n_planes > 2 as int)]"
 
 
 @query(f"select building_id, {TYPE} as roof_type from buildings", "buildings")
 def q_roof_type(spark, sf):
-    return fixture(spark, sf, "buildings").select("building_id", rules.roof_type(F.col("n_planes"), F.col("tilt_deg")).alias("roof_type"))
+    return fixture(spark, sf, "buildings").select("building_id", rules.roof_type(F.col("n_planes"), rules.roof_class(F.col("tilt_deg"), F.col("aspect_deg"))).alias("roof_type"))
 
 
 @query(f", t as (select {TYPE} as roof_type, energy_density as v from buildings), d as (select * from (values ('flat'), ('complex'), ('gable'), ('hip'), ('unfittable'), ('all')) k(roof_type)) select d.roof_type, count(v) as n, median(v) as median, quantile_cont(v, 0.9) as p90 from d left join (select * from t union all select 'all', v from t) s on d.roof_type = s.roof_type group by 1", "buildings")
 def q_consistency_summary(spark, sf):
-    b = fixture(spark, sf, "buildings").withColumn("roof_type", rules.roof_type(F.col("n_planes"), F.col("tilt_deg")))
+    b = fixture(spark, sf, "buildings").withColumn("roof_type", rules.roof_type(F.col("n_planes"), rules.roof_class(F.col("tilt_deg"), F.col("aspect_deg"))))
     return checks.type_summary(b, "energy_density", ("flat", "complex", "gable", "hip", "unfittable"))
 
 
@@ -303,7 +307,7 @@ def q_spot_sample(spark, sf):
     return areas.stratified_sample(s, ["area", "kind"], "id", 2, "7").select("id", "area", "kind")
 
 
-PARSED = ", m as (select *, case when lower(trim(has_obstruction)) in ('y', 'yes', 'true', '1') then true when lower(trim(has_obstruction)) in ('n', 'no', 'false', '0') then false end as said, upper(trim(coalesce(notes, ''))) like 'EXCLUDE%' as ex from marks), k as (select *, model_planes - least(label_planes, 4) as diff, case when said is null then null when said and found then 'hit' when said then 'missed' when found then 'false_alarm' else 'clear' end as outcome from m where not ex)"
+PARSED = ", m as (select *, case when lower(trim(has_obstruction)) in ('y', 'yes', 'true', '1') then true when lower(trim(has_obstruction)) in ('n', 'no', 'false', '0') then false end as said, upper(trim(coalesce(notes, ''))) like 'EXCLUDE%' as ex from marks), k as (select *, model_planes - least(label_planes, 4) as diff, case when said is null then null when said and found then 'hit' when said then 'miss' when found then 'false_positive' else 'true_negative' end as outcome from m where not ex)"
 
 
 @query(PARSED + " select building_id, said as obstruction, ex as is_excluded from m", "marks")
@@ -316,7 +320,7 @@ def q_label_compare(spark, sf):
     return checks.compared(fixture(spark, sf, "marks")).select("building_id", "plane_diff", "agree_1", "obstruction_outcome")
 
 
-@query(PARSED + " select count(*) as n, count(*) filter (where diff = 0) as n_exact, count(*) filter (where abs(diff) <= 1) as n_within_1, " + ", ".join(f"count(*) filter (where outcome = '{o}') as n_{o}" for o in ("hit", "missed", "false_alarm", "clear")) + " from k", "marks")
+@query(PARSED + " select count(*) as n, count(*) filter (where diff = 0) as n_exact, count(*) filter (where abs(diff) <= 1) as n_within_1, " + ", ".join(f"count(*) filter (where outcome = '{o}') as n_{o}" for o in ("hit", "miss", "false_positive", "true_negative")) + " from k", "marks")
 def q_spot_summary(spark, sf):
     return checks.spot_summary(checks.compared(fixture(spark, sf, "marks")))
 

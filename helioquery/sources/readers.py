@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators.checks import census_rows
 
+#: Cost columns of the strata, by the names that the engine gives them.
+FUELS = {"electricity": "ELEP*UNITS", "gas": "GASP*UNITS", "fuel": "FULP*UNITS"}
+
 
 def footprints(spark: SparkSession, source: str, path: str, quadkeys: list[str] | None = None) -> DataFrame:
     """Building footprints; a partitioned source is pruned to the quadkey folders asked for."""
@@ -30,10 +33,10 @@ def demographics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def energy_burden_strata(spark: SparkSession, path: str) -> DataFrame:
-    """Strata rows: the key stays text, cost is the sum of the three fuels."""
+    """Strata rows: the key stays text; one column for the cost of each fuel in FUELS."""
     raw = spark.read.csv(path, header=True)
     number = lambda c: F.col(f"`{c}`").try_cast("double")
-    return raw.select("FIP", number("HINCP*UNITS").alias("income"), (number("ELEP*UNITS") + number("GASP*UNITS") + number("FULP*UNITS")).alias("cost"))
+    return raw.select("FIP", number("HINCP*UNITS").alias("income"), *(number(c).alias(name) for name, c in FUELS.items()))
 
 
 def city(spark: SparkSession, path: str, tiles: list[tuple[int, int]] | None = None) -> DataFrame:
