@@ -6,7 +6,20 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+_I, _J = (", ".join(f"({k})" for k in range(n)) for n in (9, 8))
+
 VIEWS = {
+    # roofs of 9 x 8 pixels of 2 m whose facets are known: level, two slopes, two slopes with a strip between, level with a block, five pixels
+    "roof_px": f"""select c_custkey as building_id, kind, cast(c_custkey % 100 * 40 + 2 * i + 1 as double) as x, cast(floor(c_custkey / 100) * 40 + 2 * j + 1 as double) as y,
+        case when kind = 1 then case when i < 5 then 100e0 + i else 109e0 - i end
+             when kind = 2 then case when i < 4 then 100e0 + 1.5e0 * i when i < 7 then 98e0 else 122.5e0 - 4.5e0 * i end
+             when kind = 3 and block then 103e0 else 100e0 end as z,
+        case when kind = 1 and i >= 5 or kind = 2 and i between 4 and 6 then 1 when kind = 2 and i >= 7 then 2 when kind = 4 then -1 else 0 end as facet, kind = 3 and block as block
+        from (select c_custkey, c_custkey % 5 as kind, i, j, i between 2 and 4 and j between 2 and 5 as block from {{customer}} cross join (values {_I}) a(i) cross join (values {_J}) b(j)) t
+        where kind <> 4 or i < 5 and j = 0""",
+    "sun": f"""select distinct cast(floor(c_custkey / 100) * 20 + j as int) as r, cast(c_custkey % 100 * 20 + i as int) as c,
+        case when (c_custkey + i + j) % 29 <> 0 then cast(700 + (c_custkey * 7 + i * 13 + j * 3) % 40 * 10 as double) end as kwh_m2
+        from {{customer}} cross join (values {_I}) a(i) cross join (values {_J}) b(j)""",
     "planes": """select l_orderkey as building_id, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as int) as plane_id,
         case when l_partkey % 25 = 0 then null else l_quantity end as tilt_deg, cast((l_suppkey * 37 + l_partkey * 11) % 360 as double) as aspect_deg,
         cast(700 + (l_partkey % 100) * 10 as double) as poa_clear_sky_kwh_m2, cast(round(l_extendedprice / 500) * 4 as double) as plane_area_m2,

@@ -33,15 +33,6 @@ def duplicate_labels(labels: DataFrame, known: DataFrame) -> DataFrame:
     return twice.union(labels.join(known, "building_id", "left_anti").select("building_id", F.lit("unknown")).distinct())
 
 
-def type_summary(df: DataFrame, value: str, domain: tuple[str, ...]) -> DataFrame:
-    """Count, median and 90th percentile by roof type and over all, types without rows included."""
-    spark = df.sparkSession
-    every = spark.createDataFrame([(t,) for t in (*domain, "all")], "roof_type string")
-    both = df.select("roof_type", value).union(df.select(F.lit("all"), value))
-    found = both.groupBy("roof_type").agg(F.count("*").alias("n"), F.median(value).alias("median"), F.percentile(value, F.lit(0.9)).alias("p90"))
-    return every.join(found, "roof_type", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-
-
 def reason_counts(df: DataFrame) -> DataFrame:
     """Rows by reason over the fixed domain, zero where none."""
     return df.agg(*(F.count_if(F.col("unsuitable_reason") == r).alias(r) for r in K.REASONS), F.count_if("usable").alias("suitable"))

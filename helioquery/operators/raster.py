@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -87,50 +84,3 @@ def residuals(points: DataFrame, planes: DataFrame) -> DataFrame:
 
 def self_consistency(df: DataFrame, key: str = "building_id", tolerance: float = K.RESIDUAL_M) -> DataFrame:
     return df.groupBy(key).agg(F.sqrt(F.avg(F.col("off") * F.col("off"))).alias("rmse"), (100 * F.avg((F.abs("off") <= tolerance).cast("double"))).alias("pct_within"), F.count("off").alias("n"))
-
-
-def _consensus(x: np.ndarray, z: np.ndarray, seed: int, trials: int = 100) -> np.ndarray | None:
-    """Inliers of the best plane through three points; every triple where there are few points."""
-    n = len(z)
-    if n <= 30:
-        picks = np.array(list(combinations(range(n), 3)))
-    else:
-        rng = np.random.default_rng(seed)
-        picks = np.array([rng.choice(n, 3, replace=False) for _ in range(trials)])
-    m = np.concatenate([x[picks], np.ones((len(picks), 3, 1))], axis=2)
-    ok = np.abs(np.linalg.det(m)) > 1e-9
-    if not ok.any():
-        return None
-    coef = np.linalg.solve(m[ok], z[picks[ok]][:, :, None])[:, :, 0]
-    off = np.abs(coef[:, :2] @ x.T + coef[:, 2:] - z)
-    hits = off <= K.RESIDUAL_M
-    score = np.maximum(0, 1 - (off / K.RESIDUAL_M) ** 2).sum(axis=1)  # near points count more, so a ridge doesn't tilt a facet
-    return hits[int(np.argmax(score))]
-
-
-def peel(x: np.ndarray, z: np.ndarray, seed: int = 0, most: int = K.MAX_PLANES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(coefficients, member indices) of successive planes, largest first; small later planes that stand above are dropped."""
-    left, found = np.arange(len(z)), []
-    while len(left) >= K.MIN_PX and len(found) < most:
-        hits = _consensus(x[left], z[left], seed + len(found))
-        if hits is None or hits.sum() < K.MIN_PLANE_PX:
-            break
-        own = left[hits]
-        design = np.column_stack([x[own], np.ones(len(own))])
-        found.append((np.linalg.lstsq(design, z[own], rcond=None)[0], own))
-        left = left[~hits]
-    found.sort(key=lambda f: -len(f[1]))
-    above = lambda own: float(np.median(z[own] - x[own] @ found[0][0][:2] - found[0][0][2])) > K.RESIDUAL_M
-    return [f for k, f in enumerate(found) if not k or len(f[1]) >= K.SUPERSTRUCTURE_MAX_PX or not above(f[1])]
-
-
-def fit_planes(points: DataFrame) -> DataFrame:
-    """Robust facets of each building; one placeholder row, NULL but for its flag, where no plane fits."""
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["x", "y", "z"])
-        key, x, z = frame["building_id"].iloc[0], frame[["x", "y"]].to_numpy(float), frame["z"].to_numpy(float)
-        rows = [(key, k, *map(float, c), len(own), False) for k, (c, own) in enumerate(peel(x, z, int(key) % (1 << 31)))]
-        return pd.DataFrame(rows or [(key, 0, None, None, None, 0, True)], columns=["building_id", "plane_id", "a", "b", "c", "n_px", "unfit"])
-
-    return points.groupBy("building_id").applyInPandas(fit, "building_id long, plane_id int, a double, b double, c double, n_px long, unfit boolean")

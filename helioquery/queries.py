@@ -54,14 +54,15 @@ def built(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.score_buildings(fixture(spark, sf, "planes"))
 
 
-BUILT_COLUMNS = ("building_id", "n_planes", "low_confidence", "superstructure_frac", "footprint_area_m2", "usable", "unsuitable_reason", "dominant_plane", "tilt_deg", "aspect_deg", "roof_class")
-BUILT_SQL = f"select {', '.join(BUILT_COLUMNS)}, round(poa_real_kwh_m2, 6) as poa_real_kwh_m2, round(usable_area_m2, 6) as usable_area_m2, round(capacity_kw, 6) as capacity_kw, round(annual_energy_kwh + 1e-5, 3) as annual_energy_kwh, round(density + 1e-9, 6) as energy_density_kwh_m2, round(suitability, 6) as suitability from built"
+BUILT_COLUMNS = ("building_id", "n_planes", "low_confidence", "superstructure_frac", "footprint_area_m2", "usable", "unsuitable_reason", "dominant_plane", "roof_class")
+BUILT_SQL = f"select {', '.join(BUILT_COLUMNS)}, round(tilt_deg, 6) as tilt_deg, round(aspect_deg, 4) as aspect_deg, round(poa_real_kwh_m2, 6) as poa_real_kwh_m2, round(usable_area_m2, 6) as usable_area_m2, round(capacity_kw, 6) as capacity_kw, round(annual_energy_kwh + 1e-5, 3) as annual_energy_kwh, round(density + 1e-9, 6) as energy_density_kwh_m2, round(suitability, 6) as suitability from built"
 
 
 def built_rows(df: DataFrame) -> DataFrame:
-    df = df.select(*BUILT_COLUMNS, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", F.col("annual_energy_kwh") + 1e-5, F.col("energy_density_kwh_m2") + 1e-9, "suitability")  # past exact halves
-    df = df.toDF(*BUILT_COLUMNS, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "annual_energy_kwh", "energy_density_kwh_m2", "suitability")
-    return r6(r6(df, "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "energy_density_kwh_m2", "suitability"), "annual_energy_kwh", digits=3)
+    names = ("tilt_deg", "aspect_deg", "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "annual_energy_kwh", "energy_density_kwh_m2", "suitability")
+    past = {"annual_energy_kwh": F.col("annual_energy_kwh") + 1e-5, "energy_density_kwh_m2": F.col("energy_density_kwh_m2") + 1e-9}  # past exact halves
+    df = df.withColumns(past).select(*BUILT_COLUMNS, *names)
+    return r6(r6(r6(df, "tilt_deg", "poa_real_kwh_m2", "usable_area_m2", "capacity_kw", "energy_density_kwh_m2", "suitability"), "aspect_deg", digits=4), "annual_energy_kwh", digits=3)
 
 
 @query(views(BUILT_SQL), "planes")
@@ -275,17 +276,6 @@ def q_residuals(spark, sf):
     return r6(raster.residuals(cloud, two), "off")
 
 
-@query("select building_id, plane_id, count(*) as n_px, count(*) filter (where z - 30 > 0.5e0) as obstruction_px, count(*) filter (where z - 30 > 0.5e0) * 4e0 as obstruction_area_m2 from cloud group by 1, 2", "cloud")
-def q_obstruction_area(spark, sf):
-    above = F.col("z") - 30 > 0.5
-    return fixture(spark, sf, "cloud").groupBy("building_id", "plane_id").agg(F.count("*").alias("n_px"), F.count_if(above).alias("obstruction_px"), (F.count_if(above) * 4.0).alias("obstruction_area_m2"))
-
-
-@query("select building_id, plane_id, count(*) < 25 and median(z - 30) > 0.5e0 and plane_id > 0 as dropped from cloud group by 1, 2", "cloud")
-def q_superstructure_split(spark, sf):
-    return fixture(spark, sf, "cloud").groupBy("building_id", "plane_id").agg(F.count("*").alias("n"), F.median(F.col("z") - 30).alias("m")).select("building_id", "plane_id", ((F.col("n") < 25) & (F.col("m") > 0.5) & (F.col("plane_id") > 0)).alias("dropped"))
-
-
 #: Facets and class to archetype, as a table: one or two planes, three or more.
 TYPE = f"(case when ({CLASS}) = 'flat' then ['flat', 'complex'] else ['gable', 'hip'] end)[1 + cast(n_planes > 2 as int)]"
 
@@ -295,12 +285,6 @@ def q_roof_type(spark, sf):
     return fixture(spark, sf, "buildings").select("building_id", rules.roof_type(F.col("n_planes"), rules.roof_class(F.col("tilt_deg"), F.col("aspect_deg"))).alias("roof_type"))
 
 
-@query(f", t as (select {TYPE} as roof_type, energy_density as v from buildings), d as (select * from (values ('flat'), ('complex'), ('gable'), ('hip'), ('unfittable'), ('all')) k(roof_type)) select d.roof_type, count(v) as n, median(v) as median, quantile_cont(v, 0.9) as p90 from d left join (select * from t union all select 'all', v from t) s on d.roof_type = s.roof_type group by 1", "buildings")
-def q_consistency_summary(spark, sf):
-    b = fixture(spark, sf, "buildings").withColumn("roof_type", rules.roof_type(F.col("n_planes"), rules.roof_class(F.col("tilt_deg"), F.col("aspect_deg"))))
-    return checks.type_summary(b, "energy_density", ("flat", "complex", "gable", "hip", "unfittable"))
-
-
 @query(", s as (select *, case when n_planes >= 3 then 'complex' else 'simple' end as kind from spots where tilt_deg is not null and footprint_area_m2 >= 50), o as (select *, row_number() over (partition by area, kind order by md5('7|' || cast(id as varchar)), id) as n from s) select id, area, kind from o where n <= 2", "spots")
 def q_spot_sample(spark, sf):
     s = fixture(spark, sf, "spots").where("tilt_deg is not null and footprint_area_m2 >= 50").withColumn("kind", F.when(F.col("n_planes") >= 3, "complex").otherwise("simple"))
@@ -399,11 +383,6 @@ def q_crs_forward(spark, sf):
     return c.select("c_custkey", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
-@query()
-def q_fit_planes(spark, sf):
-    return raster.fit_planes(fixture(spark, sf, "cloud"))
-
-
 @query(views("select building_id, roof_class, unsuitable_reason, usable, round_even(tilt_deg, 1) as tilt_deg, round_even(aspect_deg, 0) as aspect_deg from built"), "planes")
 def q_roof_web(spark, sf):
     return checks.roof_web(built(spark, sf)).select("building_id", "roof_class", "unsuitable_reason", "usable", "tilt_deg", "aspect_deg")

@@ -3,7 +3,7 @@ import pytest
 
 from helioquery.fixtures import fixture
 from helioquery.functions import rules
-from helioquery.operators import areas, raster, scoring
+from helioquery.operators import areas, facets, scoring
 from helioquery.plans.city import pending, score_city, validity_key, write_city
 from helioquery.sources import readers
 from helioquery.streaming.tiles import score_arrivals
@@ -15,11 +15,11 @@ SF = "/root/testdata/sf0.001"
 def test_gable_has_two_facets_and_small_block_is_dropped():
     x = np.array([(i, j) for i in range(20) for j in range(40)], dtype=float)
     z = 10 - np.abs(x[:, 1] - 19.5) * 0.6
-    assert len(raster.peel(x, z)) == 2 and len(raster.peel(x, z, most=1)) == 1
+    assert len(facets.peel(x, z)) == 2 and len(facets.peel(x, z, most=1)) == 1
     x = np.array([(i, j) for i in range(20) for j in range(20)], dtype=float)
     for size, drop, want in (((4, 5), 2.0, 1), ((6, 6), 3.0, 2), ((4, 5), -2.0, 2)):
         z = np.where((x[:, 0] < size[0]) & (x[:, 1] < size[1]), drop, 0.0)
-        assert len(raster.peel(x, z)) == want
+        assert len(facets.split_superstructures(facets.peel(x, z), x, z)[0]) == want
 
 
 def test_rank_has_average_ties(spark):

@@ -1,6 +1,7 @@
 import duckdb
 import pytest
 
+from helioquery import label_queries, roof_queries  # noqa: F401  they register queries
 from helioquery.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -24,4 +25,4 @@ def test_query_equals_sql(spark, name):
     a, b = sorted([tuple(r[i] for i in order) for r in rows], key=str), sorted(want.fetchall(), key=str)
     assert len(a) == len(b)
     differ = [(x, y) for x, y in zip(a, b) if x != y]
-    assert not differ, (len(differ), differ[:4])
+    assert not differ, (len(differ), [[p for p in zip(names, x, y) if p[1] != p[2]] for x, y in differ[:4]])
