@@ -33,6 +33,9 @@ VIEWS = {
         cast(4295000 + cast(floor(n_nationkey / 5) as int) * 5000 as double) as miny, cast(319000 + (n_nationkey % 5) * 4000 as double) as maxx,
         cast(4300000 + cast(floor(n_nationkey / 5) as int) * 5000 as double) as maxy, cast(n_nationkey * 100 % 700 as double) as households,
         cast(1000 + n_nationkey * 10 as double) as population from {nation}""",
+    # diamonds with a square hole beside the middle
+    "diamonds": """select lpad(cast(11001000000 + n_nationkey * 100 as varchar(20)), 11, '0') as GEOID, cast(317000 + (n_nationkey % 5) * 4000 as double) as mx,
+        cast(4297500 + cast(floor(n_nationkey / 5) as int) * 5000 as double) as my, cast(1200 + n_nationkey % 4 * 200 as double) as a, cast(2000 + n_nationkey % 3 * 100 as double) as b from {nation}""",
     "daily": """select o_custkey % 200 as pixel, cast(month(o_orderdate) as int) as month, avg(o_totalprice) as wh from {orders} group by 1, 2""",
     "pixels": """select cast(floor((p_partkey - 1) / 10) as int) as r, cast((p_partkey - 1) % 10 as int) as c, case when p_partkey % 53 = 0 then null
         else 300 + ((p_partkey * 37) % 11) * 0.25e0 end as z from {part}""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import constants as K
-from ..functions import rules
+from ..functions import rules, shapes
 
 CELL_M = 1000.0
 
@@ -15,13 +15,14 @@ CELL_M = 1000.0
 def assign_tracts(points: DataFrame, tracts: DataFrame, key: str = "building_id") -> DataFrame:
     """(key, GEOID): the tract that holds each point, edges included; the smallest GEOID where several do.
 
-    Both sides are binned on a grid, so the join is an equi-join on cells at any number of tracts.
+    Tracts are polygons (``rings``, with minx to maxy their bounds) or, without that column, boxes. Both sides are binned on a grid, so the join is an equi-join on cells at any number of tracts.
     """
     cell = lambda c: F.floor(c / CELL_M).cast("int")
     bins = tracts.withColumn("gx", F.explode(F.sequence(cell(F.col("minx")), cell(F.col("maxx"))))).withColumn("gy", F.explode(F.sequence(cell(F.col("miny")), cell(F.col("maxy")))))
     at = points.select(key, F.col("x").alias("__x"), F.col("y").alias("__y"), cell(F.col("x")).alias("gx"), cell(F.col("y")).alias("gy"))
-    ring = rules.box_ring(*(F.col(c) for c in ("minx", "miny", "maxx", "maxy")))
-    hits = at.join(bins, ["gx", "gy"]).where(rules.point_in_ring(F.col("__x"), F.col("__y"), ring))
+    rings = F.col("rings") if "rings" in tracts.columns else shapes.box(*(F.col(c) for c in ("minx", "miny", "maxx", "maxy")))
+    inside = F.col("__x").between(F.col("minx"), F.col("maxx")) & F.col("__y").between(F.col("miny"), F.col("maxy"))
+    hits = at.join(bins, ["gx", "gy"]).where(inside & shapes.holds(rings, F.col("__x"), F.col("__y")))
     return hits.groupBy(key).agg(F.min("GEOID").alias("GEOID"))
 
 
@@ -73,6 +74,34 @@ def tile_grid(boxes: DataFrame) -> DataFrame:
     return out.select("tile_row", "tile_col", (F.col("tile_col") * size + ox).alias("minx"), (F.col("tile_row") * size + oy).alias("miny"))
 
 
+def tile_records(tiles: DataFrame) -> DataFrame:
+    """tiles with the bounds of their core and of their buffered square."""
+    (ox, oy), size, wide = K.GRID_ORIGIN, K.TILE_SIZE_M, K.TILE_BUFFER_M
+    core = {"minx": F.col("tile_col") * size + ox, "miny": F.col("tile_row") * size + oy, "maxx": (F.col("tile_col") + 1) * size + ox, "maxy": (F.col("tile_row") + 1) * size + oy}
+    return tiles.withColumns({**core, **{"buffered_" + k: v + (-wide if k.startswith("min") else wide) for k, v in core.items()}})
+
+
+def with_shape(features: DataFrame) -> DataFrame:
+    """features (rings) with their area, centroid, bounds and interior point, worked out once."""
+    rings = F.col("rings")
+    (cx, cy), (rx, ry) = shapes.centroid(rings), shapes.interior_point(rings)
+    return features.withColumns({"area_m2": shapes.area(rings), "cx": cx, "cy": cy, "rep_x": rx, "rep_y": ry, **shapes.bounds(rings)})
+
+
+def core_footprints(footprints: DataFrame, core: Column, by: str = "rep") -> DataFrame:
+    """Whole footprints whose interior point (or, ``by="centroid"``, centroid) lies strictly inside the rings ``core``."""
+    x, y = ("rep_x", "rep_y") if by == "rep" else ("cx", "cy")
+    return footprints.where(shapes.holds(core, F.col(x), F.col(y), boundary_in=False))
+
+
+def clip_to_box(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
+    """One-ring features cut to a box; those outside go."""
+    out = features.withColumn("__ring", F.get("rings", F.lit(0)))
+    for axis, at, above in (("x", minx, True), ("x", maxx, False), ("y", miny, True), ("y", maxy, False)):
+        out = out.withColumn("__ring", shapes.cut_side(F.col("__ring"), axis, F.lit(float(at)), above))
+    return out.where("size(__ring) > 3").withColumn("rings", F.array("__ring")).drop("__ring")
+
+
 def halo(points: DataFrame) -> DataFrame:
     """Each point in its own tile and in those within whose buffer it lies."""
     near = lambda c, o: F.sequence(F.floor((F.col(c) - o - K.TILE_BUFFER_M) / K.TILE_SIZE_M).cast("int"), F.floor((F.col(c) - o + K.TILE_BUFFER_M) / K.TILE_SIZE_M).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import constants as K
-from ..functions import rules
+from ..functions import rules, shapes
 
 
 def annual_insolation(daily: DataFrame, days: tuple[int, ...] = K.DAYS_IN_MONTH) -> DataFrame:
@@ -53,6 +53,32 @@ def zonal_mean(zones: DataFrame, pixels: DataFrame) -> DataFrame:
     return cells.join(pixels, ["r", "c"], "left").groupBy("zone").agg(F.avg("z").alias("mean"), F.count("z").alias("n_px"))
 
 
+def footprint_pixels(footprints: DataFrame, pixels: DataFrame, origin: tuple[float, float], res: float, key: str = "zone") -> DataFrame:
+    """(key, r, c, z) of the pixels whose centre lies in each footprint (rings); a footprint that covers none keeps one row of NULLs.
+
+    Candidate cells come from the footprint's bounds by arithmetic, so pixels meet them by an equi-join.
+    """
+    cell = lambda v, o: F.floor((v - o) / res).cast("int")
+    at = {k: v for k, v in shapes.bounds(F.col("rings")).items()}
+    cells = footprints.select(key, "rings", F.explode(F.sequence(cell(at["miny"], origin[1]), cell(at["maxy"], origin[1]))).alias("r"), cell(at["minx"], origin[0]).alias("c0"), cell(at["maxx"], origin[0]).alias("c1"))
+    cells = cells.select(key, "rings", "r", F.explode(F.sequence("c0", "c1")).alias("c"))
+    inside = shapes.holds(F.col("rings"), origin[0] + (F.col("c") + 0.5) * res, origin[1] + (F.col("r") + 0.5) * res)
+    found = cells.where(inside).select(key, "r", "c").join(pixels, ["r", "c"])
+    return footprints.select(key).join(found.select(key, "r", "c", "z"), key, "left")
+
+
+def footprint_means(footprints: DataFrame, pixels: DataFrame, origin: tuple[float, float], res: float, key: str = "zone") -> DataFrame:
+    """Mean of each footprint's pixels, NULL if none has a value."""
+    return footprint_pixels(footprints, pixels, origin, res, key).groupBy(key).agg(F.avg("z").alias("mean"), F.count("z").alias("n_px"))
+
+
+def clip_raster(pixels: DataFrame, rings: Column, origin: tuple[float, float], res: float) -> DataFrame:
+    """Pixels of the bounds of a polygon; those whose centre lies outside are NULL."""
+    x, y, at = origin[0] + (F.col("c") + 0.5) * res, origin[1] + (F.col("r") + 0.5) * res, shapes.bounds(rings)
+    inside = x.between(at["minx"], at["maxx"]) & y.between(at["miny"], at["maxy"])
+    return pixels.where(inside).withColumn("z", F.when(shapes.holds(rings, x, y), F.col("z")))
+
+
 def masked(pixels: DataFrame, zones: DataFrame) -> DataFrame:
     """Pixels outside every zone become NULL."""
     cells = zones.select(F.explode(F.sequence("r0", "r1")).alias("r"), "c0", "c1").select("r", F.explode(F.sequence("c0", "c1")).alias("c")).distinct()
