@@ -94,13 +94,22 @@ def geoid(value: Column) -> Column:
     return F.when(F.length(text) >= 11, text).otherwise(F.lpad(text, 11, "0"))
 
 
-def quadkey(lon: Column, lat: Column, zoom: int) -> Column:
-    """Web-Mercator tile key of a point."""
+def web_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
+    """Web-Mercator tile (x, y) of a point."""
     n, phi = 1 << zoom, F.radians(lat)
-    x = ((lon + 180) / 360 * n).cast("int")
-    y = ((1 - F.log(F.tan(phi) + 1 / F.cos(phi)) / F.pi()) / 2 * n).cast("int")
+    return ((lon + 180) / 360 * n).cast("int"), ((1 - F.log(F.tan(phi) + 1 / F.cos(phi)) / F.pi()) / 2 * n).cast("int")
+
+
+def quadkey_of(x: Column, y: Column, zoom: int) -> Column:
+    """Base-4 key of a tile: a digit for each zoom step."""
     bits = F.sequence(F.lit(zoom - 1), F.lit(0), F.lit(-1))
-    return F.array_join(F.transform(bits, lambda i: (F.expr("0") + F.getbit(x, i) + 2 * F.getbit(y, i)).cast("string")), "")
+    digit = lambda v, i: v.cast("long").bitwiseAND(F.pow(F.lit(2), i).cast("long")) > 0
+    return F.array_join(F.transform(bits, lambda i: (digit(x, i).cast("int") + 2 * digit(y, i).cast("int")).cast("string")), "")
+
+
+def quadkey(lon: Column, lat: Column, zoom: int) -> Column:
+    """Web-Mercator tile key of a point."""
+    return quadkey_of(*web_tile(lon, lat, zoom), zoom)
 
 
 def transverse_mercator(lon: Column, lat: Column, lon0: float = -75.0, k0: float = 0.9996, east: float = 500000.0) -> tuple[Column, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import box_ring
+from .rules import box_ring, transverse_mercator, transverse_mercator_inverse
 
 
 def box(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -116,3 +116,21 @@ def cut_side(ring: Column, axis: str, at: Column, keep_above: bool) -> Column:
 
     new = F.flatten(F.transform(edges(F.array(ring)), step))
     return F.when(F.size(new) > 0, F.concat(new, F.slice(new, F.lit(1), F.lit(1)))).otherwise(new)
+
+
+def _moved(rings: Column, use) -> Column:
+    def point(p: Column) -> Column:
+        x, y = use(p["x"], p["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(rings, lambda ring: F.transform(ring, point))
+
+
+def projected(rings: Column) -> Column:
+    """Rings in degrees (longitude, latitude) as rings in the working projection."""
+    return _moved(rings, transverse_mercator)
+
+
+def unprojected(rings: Column) -> Column:
+    """Rings in the working projection as rings in degrees."""
+    return _moved(rings, transverse_mercator_inverse)

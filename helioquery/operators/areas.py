@@ -94,6 +94,14 @@ def core_footprints(footprints: DataFrame, core: Column, by: str = "rep") -> Dat
     return footprints.where(shapes.holds(core, F.col(x), F.col(y), boundary_in=False))
 
 
+def quadkeys_of(boxes: DataFrame, zoom: int) -> DataFrame:
+    """boxes (west, south, east, north in degrees) with the key of each tile that they touch."""
+    x0, y0 = rules.web_tile(F.col("west"), F.col("north"), zoom)
+    x1, y1 = rules.web_tile(F.col("east"), F.col("south"), zoom)
+    out = boxes.withColumn("__x", F.explode(F.sequence(x0, x1))).withColumn("__y", F.explode(F.sequence(y0, y1)))
+    return out.withColumn("quadkey", rules.quadkey_of(F.col("__x"), F.col("__y"), zoom)).drop("__x", "__y")
+
+
 def clip_to_box(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
     """One-ring features cut to a box; those outside go."""
     out = features.withColumn("__ring", F.get("rings", F.lit(0)))

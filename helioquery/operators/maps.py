@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import constants as K
+from ..functions import rules, shapes
+from .raster import clip_raster, hillshade, masked, slope_aspect
+
 #: Colours (red, green, blue) at the low end, the middle and the high end.
 STOPS = ((28, 44, 110), (60, 150, 140), (250, 225, 90))
 STEPS = 256
@@ -85,6 +89,58 @@ def map_tiles(points: DataFrame, key: str, zooms: tuple[int, int] = (13, 16), mo
     return out.withColumn("__n", F.row_number().over(tile)).where(F.col("__n") <= most).drop("__n")
 
 
+def polygon_features(rows: DataFrame, properties: list[str], step: float = 1e-6) -> DataFrame:
+    """One GeoJSON feature a row of its projected polygon (rings), in degrees snapped to ``step``; missing properties are left out."""
+    rings = F.transform(shapes.snapped(shapes.unprojected(F.col("rings")), step), lambda ring: F.transform(ring, lambda p: F.array(F.round(p["x"], 6), F.round(p["y"], 6))))
+    shape = F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates"))
+    return rows.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), shape.alias("geometry"))).alias("feature"))
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """One feature a line; readers of line-delimited GeoJSON take the folder."""
+    features.write.mode("overwrite").text(path)
+
+
+def warp(pixels: DataFrame, targets: DataFrame, source: tuple[float, float], res: float) -> DataFrame:
+    """Bilinear values at the centres (i, j, lon, lat) of another grid, from pixels of the working projection.
+
+    :param source: (x, y) of the lower left corner of pixel (0, 0).
+    """
+    x, y = rules.transverse_mercator(F.col("lon"), F.col("lat"))
+    return resample(pixels, targets.select("i", "j", ((y - source[1]) / res - 0.5).alias("fr"), ((x - source[0]) / res - 0.5).alias("fc")), ["i", "j"])
+
+
+def build_surface(items: DataFrame, layers: DataFrame, targets: DataFrame, rings: Column, source: tuple[float, float], res: float, target: tuple[float, float], target_res: float) -> DataFrame:
+    """The surface over a study area in one plan: first valid layer a cell, warped to the target grid, cut to the polygon.
+
+    :param items: catalogue items of the area (href, ord); :param layers: their pixels (href, r, c, z).
+    """
+    one = mosaic(layers.join(F.broadcast(items.select("href", "ord")), "href"))  # the items of one area
+    return clip_raster(warp(one, targets, source, res).withColumnsRenamed({"i": "r", "j": "c"}), rings, target, target_res)
+
+
+def window(pixels: DataFrame, r0: int, r1: int, c0: int, c1: int) -> DataFrame:
+    """The pixels of a window of rows and columns, which may reach past the grid: cells outside are NULL."""
+    rows = pixels.sparkSession.range(r0, r1 + 1).select(F.col("id").cast("int").alias("r"), F.explode(F.sequence(F.lit(c0), F.lit(c1))).alias("c"))
+    return rows.join(pixels.where(F.col("r").between(r0, r1) & F.col("c").between(c0, c1)), ["r", "c"], "left")
+
+
+def page_layers(surface: DataFrame, insolation: DataFrame, footprints: DataFrame, res: float) -> dict[str, DataFrame]:
+    """The page's four raster layers, coloured: hillshade of all, insolation, slope and aspect within footprints (zones of cells).
+
+    Insolation is stretched over its 2nd to 98th percentile; aspect is grey where the roof is level.
+    """
+    steep = masked(slope_aspect(surface, res).select("r", "c", F.col("slope").alias("z")), footprints)
+    facing = masked(slope_aspect(surface, res).select("r", "c", F.col("aspect").alias("z")), footprints)
+    sun = masked(insolation, footprints)
+    low, high = sun.agg(F.percentile("z", F.lit(0.02)), F.percentile("z", F.lit(0.98))).first()
+    level = steep.where(F.col("z") <= K.FLAT_THRESHOLD_DEG).select("r", "c", F.lit(True).alias("__level"))
+    aspect = coloured(facing, 0.0, 360.0).join(level, ["r", "c"], "left")
+    grey = {k: F.when(F.col("__level"), v).otherwise(F.col(k)) for k, v in (("red", 160), ("green", 160), ("blue", 160), ("alpha", 255))}
+    shade = hillshade(surface, res).select("r", "c", F.col("shade").alias("z"))
+    return {"hillshade": coloured(shade, 0.0, 255.0), "insolation": coloured(sun, low or 0.0, high or 1.0), "slope": coloured(steep, 0.0, 60.0), "aspect": aspect.withColumns(grey).drop("__level")}
+
+
 def features(rows: DataFrame, ring: Column, *properties: str) -> DataFrame:
     """One GeoJSON feature a row, its polygon a closed ring of (x, y)."""
     line = F.transform(ring, lambda p: F.array(p["x"], p["y"]))

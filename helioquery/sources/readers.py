@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import rules, shapes
 from ..operators.checks import census_rows
 
 #: Cost columns of the strata, by the names that the engine gives them.
@@ -21,6 +22,46 @@ def footprints(spark: SparkSession, source: str, path: str, quadkeys: list[str]
     return out.where(F.col("quadkey").isin(quadkeys)) if quadkeys is not None else out
 
 
+def catalogue_items(items: DataFrame, minx: float, miny: float, maxx: float, maxy: float, quadkeys: list[str] | None = None) -> DataFrame:
+    """Items of a catalogue (minx, miny, maxx, maxy, href) that touch a box, and, where given, carry one of the quadkeys."""
+    out = items.where((F.col("minx") <= maxx) & (F.col("maxx") >= minx) & (F.col("miny") <= maxy) & (F.col("maxy") >= miny))
+    return out.where(F.col("quadkey").isin(quadkeys)) if quadkeys is not None else out
+
+
+def surface_items(items: DataFrame, *box: float) -> DataFrame:
+    """The items that a surface over the box is built from; none is an error."""
+    out = catalogue_items(items, *box)
+    if out.isEmpty():
+        raise ValueError(f"no surface item touches {box}")
+    return out
+
+
+def tract_geometries(raw: DataFrame) -> DataFrame:
+    """(GEOID, rings) in the working projection, of tracts whose rings are in degrees."""
+    return raw.select(rules.geoid(F.col("GEOID")).alias("GEOID"), shapes.projected(F.col("rings")).alias("rings"))
+
+
+def buildings(spark: SparkSession, source: DataFrame | str) -> DataFrame:
+    """A frame as it is, or a parquet table."""
+    if isinstance(source, DataFrame):
+        return source
+    if not source.rstrip("/").endswith(".parquet"):
+        raise NotImplementedError(f"buildings come as a frame or a parquet table, not as {source!r}")
+    return spark.read.parquet(source)
+
+
+def score_tables(spark: SparkSession, folder: str, names: tuple[str, ...] = ("planes", "obstructions", "buildings", "membership")) -> dict[str, DataFrame]:
+    """The tables of a detailed score that was written before."""
+    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}.parquet") for n in names}
+
+
+def tile_names(files: DataFrame, column: str = "path") -> DataFrame:
+    """(tile_row, tile_col) of the scored tiles among file names, each once."""
+    pattern = r"(?:^|/)tile_(\d+)_(\d+)_roofs\.parquet$"
+    found = files.where(F.col(column).rlike(pattern))
+    return found.select(*(F.regexp_extract(column, pattern, k).cast("int").alias(n) for k, n in ((1, "tile_row"), (2, "tile_col")))).distinct()
+
+
 def raster(spark: SparkSession, path: str, value: str = "z") -> DataFrame:
     """A pixel table with the nodata value as NULL."""
     out = spark.read.parquet(path)

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from helioquery import label_queries, roof_queries, shape_queries  # noqa: F401  they register queries
+from helioquery import label_queries, roof_queries, run_queries, shape_queries  # noqa: F401  they register queries
 from helioquery.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
