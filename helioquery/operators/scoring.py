@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,17 +42,21 @@ def plane_yields(planes: DataFrame) -> DataFrame:
     return planes.withColumns({k: v if k == "poa_real_kwh_m2" else F.when(none, 0.0).otherwise(v) for k, v in made.items()})
 
 
-def percentile_rank(df: DataFrame, value: str, eligible: Column, name: str = "suitability", buckets: int = 64) -> DataFrame:
+def _bucket(value: Column) -> Column:
+    """A whole number that grows with the value, 64 to an octave; Java's logarithm never turns an order round."""
+    steps = lambda v: F.floor(F.log2(v) * 64).cast("long") + 100_000
+    return F.when(value > 0, steps(value)).when(value < 0, -steps(-value)).otherwise(F.lit(0).cast("long"))
+
+
+def percentile_rank(df: DataFrame, value: str, eligible: Column, name: str = "suitability") -> DataFrame:
     """100 * average rank / n among eligible rows, 0 for the others.
 
-    Values are counted first, so ties are one row. Buckets between approximate quantiles (at most ``buckets`` numbers on
-    the driver) spread the ranking over tasks; a bucket's offset comes from the totals of at most ``buckets`` rows.
+    Values are counted first, so ties are one row, and ranked within buckets that follow from the values alone: no job runs
+    while the plan is made, and no task orders more than the distinct values of a bucket. A bucket's offset comes from the
+    totals of the buckets, of which there are at most some 130,000 however many rows there are.
     """
     ranked = df.where(eligible & F.col(value).isNotNull())
-    counts = ranked.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    cuts = sorted(set(counts.approxQuantile("__v", [i / buckets for i in range(1, buckets)], 0.01)))
-    bucket = reduce(lambda a, b: a + b, [(F.col("__v") > c).cast("int") for c in cuts], F.lit(0))
-    counts = counts.withColumn("__b", bucket)
+    counts = ranked.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n")).withColumn("__b", _bucket(F.col("__v")))
     inside = F.sum("__n").over(Window.partitionBy("__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1))
     totals = counts.groupBy("__b").agg(F.sum("__n").alias("__t"))
     offsets = totals.select("__b", F.coalesce(F.sum("__t").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"), F.sum("__t").over(Window.partitionBy(F.lit(1))).alias("__all"))

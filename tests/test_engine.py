@@ -26,6 +26,10 @@ def test_rank_has_average_ties(spark):
     df = spark.createDataFrame([(10.0, 1), (10.0, 1), (20.0, 1), (99.0, 0), (None, 1)], "v double, ok int")
     got = sorted(r["suitability"] for r in scoring.percentile_rank(df, "v", F.col("ok") == 1).collect())
     assert got == [0.0, 0.0, 50.0, 50.0, 100.0]
+    values = [-3.5, -3.25, -1e-9, 0.0, 1e-9, 0.5, 1.0, 1.0000000001, 7.9, 8.0, 8.1, 1e9]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["v"]: r["suitability"] for r in scoring.percentile_rank(df, "v", F.lit(True)).collect()}
+    assert [round(got[v] * 12 / 100, 6) for v in values] == list(range(1, 13))
 
 
 def test_mercator_and_quadkey(spark):
