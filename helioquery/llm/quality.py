@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,21 @@ PUNCTUATION_PERCENT = 25
 #: A line of this many separators or more, or a short line that is a link's usual label, is navigation.
 SEPARATORS = 2
 SEPARATOR_CLASS = r"[|»›•→]"
-NAVIGATION = r"(?i)^(home|menu|log ?in|sign (in|up)|search|next|previous|back|contact( us)?|about( us)?|share( this)?|subscribe|read more|site ?map|skip to (main )?content|back to top)[ .!:]*$"
-BOILERPLATE = r"(?i)(all rights reserved|lorem ipsum|javascript|cookie|privacy policy|terms of (use|service)|licensed under|released under the|copyright (©|\(c\)))"
+#: In English, German, French and Spanish; letters beyond ASCII in both cases, as patterns fold ASCII alone.
+NAVIGATION = "(?i)^(" + "|".join([
+    "home|menu|log ?in|sign (in|up)|search|next|previous|back|contact( us)?|about( us)?|share( this)?|subscribe|read more|site ?map|skip to (main )?content|back to top",
+    "startseite|men[uüÜ]|anmelden|abmelden|registrieren|suche|weiter|zur[üÜ]ck|kontakt|[üÜ]ber uns|teilen|abonnieren|mehr lesen|weiterlesen|nach oben|zum inhalt( springen)?",
+    "accueil|connexion|s.inscrire|rechercher|suivant|pr[éÉ]c[éÉ]dent|retour|nous contacter|[àÀ] propos|partager|s.abonner|lire la suite|plan du site|haut de page|aller au contenu",
+    "inicio|men[uúÚ]|iniciar sesi[óÓ]n|registrarse|buscar|siguiente|anterior|volver|contacto|acerca de|compartir|suscribirse|leer m[áÁ]s|mapa del sitio|ir al contenido",
+]) + ")[ .!:]*$"
+BOILERPLATE = "(?i)(" + "|".join([
+    r"all rights reserved|lorem ipsum|javascript|cookie|privacy policy|terms of (use|service)|licensed under|released under the|copyright (©|\(c\))",
+    "alle rechte vorbehalten|datenschutzerkl[äÄ]rung|nutzungsbedingungen|impressum",
+    "tous droits r[éÉ]serv[éÉ]s|politique de confidentialit[éÉ]|conditions d.utilisation|mentions l[éÉ]gales",
+    "todos los derechos reservados|pol[íÍ]tica de privacidad|t[éÉ]rminos de (uso|servicio)|aviso legal",
+]) + ")"
+#: Lower-case stems of which each boilerplate phrase holds one: texts without any of them need no pattern.
+STEMS = ("rights reserved", "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of ", "licensed under", "released under", "copyright (", "copyright ©", "rechte vorbehalten", "datenschutzerkl", "nutzungsbedingungen", "impressum", "tous droits r", "politique de confidentialit", "conditions d", "mentions l", "derechos reservados", "tica de privacidad", "rminos de ", "aviso legal")
 #: A document goes if its lines lose more than this share of its characters that aren't spaces.
 LOST_PERCENT = 50
 MIN_WORDS = 50
@@ -29,11 +44,20 @@ def unspaced(text: Column) -> Column:
     return F.length(F.translate(text, " \t\n\x0b\f\r", ""))
 
 
-def line_fails(line: Column) -> Column:
-    """True for a line of words that the punctuation, navigation or boilerplate rules reject; lines without words pass."""
-    marks = F.length(F.regexp_replace(line, r"[^\p{P}\p{S}]", ""))
-    separators = F.length(F.regexp_replace(line, SEPARATOR_CLASS.replace("[", "[^"), ""))
-    return (marks * 100 > unspaced(line) * PUNCTUATION_PERCENT) | (separators >= SEPARATORS) | F.trim(line).rlike(NAVIGATION) | line.rlike(BOILERPLATE)
+def may_hold_boilerplate(text: Column) -> Column:
+    """False only for texts in which no boilerplate phrase can stand."""
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [low.contains(stem) for stem in STEMS])
+
+
+def line_fails(line: Column, suspect: Column) -> Column:
+    """True for a line of words that the punctuation, navigation or boilerplate rules reject; lines without words pass.
+
+    :param suspect: whether the line's text may hold boilerplate.
+    """
+    marks = F.length(F.regexp_replace(line, r"[^\p{P}\p{S}]+", ""))
+    separators = F.length(F.regexp_replace(line, SEPARATOR_CLASS.replace("[", "[^") + "+", ""))
+    return (marks * 100 > unspaced(line) * PUNCTUATION_PERCENT) | (separators >= SEPARATORS) | F.trim(line).rlike(NAVIGATION) | (suspect & line.rlike(BOILERPLATE))
 
 
 def _total(values: Column) -> Column:
@@ -51,9 +75,9 @@ def with_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     All of it is column expressions within the row: nothing is shuffled. Sorting windows is left to texts in which a
     window does occur twice. Windows are told apart by 64 bits of their hash within a text.
     """
-    own = "__w __lines __h __s __at".split()
+    own = "__w __lines __h __s __at __suspect".split()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumns({"__w": words_of(F.col(text_col)), "__lines": F.split(text, "\n")})
+    out = docs.withColumns({"__w": words_of(F.col(text_col)), "__lines": F.split(text, "\n"), "__suspect": may_hold_boilerplate(text)})
     windows = F.transform(F.sequence(F.lit(0), F.size("__w") - 3), lambda i: F.xxhash64(F.get("__w", i), F.get("__w", i + 1), F.get("__w", i + 2)))
     out = out.withColumn("__h", F.when(F.size("__w") >= 3, windows).otherwise(F.array().cast("array<long>")))
     repeats = F.size(F.array_distinct("__h")) < F.size("__h")
@@ -68,7 +92,7 @@ def with_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("__at", F.when(F.col("__s").isNotNull(), F.sort_array(places)).otherwise(F.array().cast("array<int>")))
     lines = F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     covered = F.transform("__at", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("__at", j + 1) - p, F.lit(3))).cast("long"))
-    clean = F.array_join(F.filter("__lines", lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & line_fails(x))), "\n")
+    clean = F.array_join(F.filter("__lines", lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & line_fails(x, F.col("__suspect")))), "\n")
     out = out.withColumns(
         {
             "clean_text": F.when(F.col(text_col).isNotNull(), clean),
