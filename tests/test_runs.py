@@ -118,3 +118,35 @@ def test_surface_is_built_in_one_plan(spark):
     rings = shapes.box(*(F.lit(float(v)) for v in (320000, 4300000, 320012, 4300006)))
     got = maps.build_surface(items, layers, targets, rings, (320000.0, 4300000.0), 2.0, (320000.0, 4300000.0), 2.0).collect()
     assert len(got) == 18 and {round(r["z"], 3) for r in got if r["c"] == 3} == {2.0} and {round(r["z"], 3) for r in got if r["c"] == 0} == {1.0}
+
+
+def test_command_line_from_pixels_to_tracts(spark, tmp_path, capsys):
+    from helioquery.__main__ import main
+    from helioquery.label_queries import hand_labels
+    from helioquery.roof_queries import px
+
+    at = lambda name: f"{tmp_path}/{name}"
+    px(spark, SF).write.parquet(at("px"))
+    fixture(spark, SF, "sun").write.parquet(at("sun"))
+    for method in ("multiplane", "ransac"):
+        main(["score", at("px"), at("sun"), at("out"), "--method", method, "--label", method], spark)
+    done = spark.read.parquet(at("out/city/multiplane/buildings.parquet"))
+    assert done.count() == spark.read.parquet(at("out/city/ransac/buildings.parquet")).count() == 150
+    assert "| no_plane_fit |" in capsys.readouterr().out
+    placed = done.join(px(spark, SF).groupBy("building_id").agg(F.min("x").alias("x"), F.min("y").alias("y")), "building_id").withColumn("rings", shapes.box(F.col("x"), F.col("y"), F.col("x") + 18, F.col("y") + 16))
+    placed.write.parquet(at("roofs.parquet"))
+    half = lambda name, a, b: spark.range(1).select(F.lit(name).alias("GEOID"), F.lit(a).alias("minx"), F.lit(0.0).alias("miny"), F.lit(b).alias("maxx"), F.lit(9000.0).alias("maxy"))
+    half("1", 0.0, 2000.0).union(half("2", 2000.5, 9000.0)).write.parquet(at("tracts"))
+    spark.createDataFrame([("1", 10.0, 30.0), ("2", 0.0, 5.0)], "GEOID string, households double, population double").write.parquet(at("people"))
+    spark.createDataFrame([("1", 0.1)], "GEOID string, energy_burden double").write.parquet(at("burden"))
+    main(["aggregate", at("roofs.parquet"), at("tracts"), at("people"), at("burden"), at("agg")], spark)
+    got = {r["GEOID"]: r for r in spark.read.parquet(at("agg")).collect()}
+    assert got["1"]["equity_class"] == "high_potential_high_burden" and got["2"]["equity_class"] == "unknown" and got["1"]["n_buildings"] + got["2"]["n_buildings"] == 150
+    main(["publish", at("roofs.parquet"), at("web")], spark)
+    assert spark.read.text(at("web")).count() == 150
+    rows = facets.stacked(px(spark, SF), fixture(spark, SF, "sun"), (0.0, 0.0), 2.0)
+    for name in ("planes", "obstructions", "buildings"):
+        (rows.where("plane_id = 0") if name == "buildings" else rows).write.parquet(at(f"score/{name}.parquet"))
+    hand_labels(spark, SF).coalesce(1).write.csv(at("labels"), header=True)
+    main(["compare", at("labels"), at("score"), at("cmp")], spark)
+    assert spark.read.csv(at("cmp"), header=True).groupBy("method").count().count() == 2 and "| multiplane |" in capsys.readouterr().out
