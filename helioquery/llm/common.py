@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Upper limit, in characters, of the text a Python worker holds as token lists at once (one longer text stands alone).
 GROUP_CHARS = 2_000_000
 
+#: Spark's setting for removing a query's shuffle files when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of a few numbers that a join sends to every executor at most, some tens of bytes each.
 BROADCAST_ROWS = 1_000_000
 
@@ -28,13 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that all executors share.
 
-    The folder is ``spark.checkpoint.dir``; only where that is unset (tests, local mode) a temporary one is made.
+    The folder is ``spark.checkpoint.dir``; only where that is unset (tests, local mode) a temporary one is made. The
+    shuffle files behind the checkpoint are dead once it is written, and Spark removes them then.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a query of its own, made while the setting holds
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
 def narrow_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
