@@ -6,6 +6,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .chunks import SpaceWords
 from .common import durable, text_groups
 
 #: Training documents of a language, about; a language with more is sampled by a hash of the row.
@@ -29,11 +29,16 @@ TRAIN_RUN = 48
 RESCALE = 16
 #: A text's evidence counts as that of this many words at most, which keeps the score of mixed texts below 1.
 EVIDENCE_WORDS = 10
+#: Chunks of text that a worker remembers, and what a group of texts adds; then it begins anew, with the same results.
+KNOWN = 100_000
 UNDETERMINED = "und"
 
-# Python's word characters but digits, the underscore and numbers that are no letters, such as halves and circled ones
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+# Letters are what str.isalpha() says: no digits, no underscore, no halves or circled numbers. A class that names its
+# ranges is looked up in a table, one that excludes is searched range by range.
+_CODES = np.flatnonzero([chr(n).isalpha() for n in range(sys.maxunicode + 1)])
+_ENDS = np.flatnonzero(np.diff(_CODES) > 1)
+_LETTERS = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(_CODES[np.append(0, _ENDS + 1)], _CODES[np.append(_ENDS, -1)])) + "]+")
+_ASCII_LETTERS = re.compile("[a-z]+")
 _PRIME = np.uint64(1_099_511_628_211)
 
 
@@ -139,7 +144,10 @@ def expected(pieces: Pieces, probs: np.ndarray, words: list[str], counts: np.nda
 
 def split_words(chunk: str) -> list[str]:
     """Lower-case runs of letters, marked at their start."""
-    return [START + run for run in _LETTERS.findall(chunk.lower())]
+    low = chunk.lower()
+    if low.isalpha():
+        return [START + low]
+    return [START + run for run in (_ASCII_LETTERS if low.isascii() else _LETTERS).findall(low)]
 
 
 def train_words(chunk: str) -> list[str]:
@@ -147,37 +155,52 @@ def train_words(chunk: str) -> list[str]:
     return [run[at : at + TRAIN_RUN] for run in split_words(chunk) for at in range(0, len(run), TRAIN_RUN)]
 
 
+class Numbers(dict):
+    """Numbers its keys from 0 as they are asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class LanguageModel:
     """Piece probabilities of each language over a fixed vocabulary."""
 
     def __init__(self, pieces: Pieces, languages: list[str], probs: np.ndarray):
         self.pieces, self.languages, self.probs = pieces, languages, probs
-        self.known: dict[str, int] = {}
-        self.scores = np.zeros((0, len(languages)))
-
-    def _chunks(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities and word counts of each distinct chunk."""
-        own = [split_words(v) for v in values]
-        distinct = list(dict.fromkeys(w for ws in own for w in ws))
-        if len(self.known) + len(distinct) > 400_000:
-            self.known, self.scores = {}, self.scores[:0]
-        missing = [w for w in distinct if w not in self.known]
-        self.known.update((w, len(self.scores) + n) for n, w in enumerate(missing))
-        self.scores = np.concatenate([self.scores, forward(self.pieces, self.probs, missing)])
-        sizes = np.array([len(ws) for ws in own], dtype=np.int64)
-        flat = np.array([self.known[w] for ws in own for w in ws], dtype=np.int64)
-        sums = np.zeros((len(own), len(self.languages)))
-        np.add.at(sums, np.repeat(np.arange(len(own)), sizes), self.scores[flat])
-        return sums, sizes
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.scores = Numbers(), np.zeros((0, len(self.languages)))
+        # of chunks between white space: number, log probability and count of words
+        self.chunks, self.sums, self.sizes = Numbers(), np.zeros((0, len(self.languages))), np.zeros(0, dtype=np.int64)
+
+    def _learn(self, values: list[bytes]) -> None:
+        """Scores chunks, those that got the next numbers; words are scored once."""
+        own = [split_words(v.decode("utf-8", "surrogatepass")) for v in values]
+        sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+        first = len(self.words)
+        flat = np.fromiter(map(self.words.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=int(sizes.sum()))
+        self.scores = np.concatenate([self.scores, forward(self.pieces, self.probs, list(islice(self.words, first, None)))])
+        at = np.repeat(np.arange(len(own)), sizes)
+        sums = [np.bincount(at, self.scores[flat, k], minlength=len(own)) for k in range(len(self.languages))]
+        self.sums, self.sizes = np.concatenate([self.sums, np.stack(sums, axis=1)]), np.concatenate([self.sizes, sizes])
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if not self.languages:
             return [(UNDETERMINED, 0.0)] * len(texts)
-        found = SpaceWords([t or "" for t in texts])
-        sums, sizes = self._chunks(found.values)
-        doc = np.repeat(np.arange(len(texts)), np.diff(found.ends, prepend=0))
-        score = np.stack([np.bincount(doc, sums[found.codes, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1)
-        words = np.bincount(doc, sizes[found.codes], minlength=len(texts))
+        if len(self.chunks) > KNOWN:
+            self._forget()
+        first, codes, n_codes = len(self.chunks), [], []
+        for text in texts:
+            parts = (text or "").encode("utf-8", "surrogatepass").split()  # of bytes: ASCII white space only
+            codes.append(np.fromiter(map(self.chunks.__getitem__, parts), dtype=np.int64, count=len(parts)))
+            n_codes.append(len(parts))
+        if len(self.chunks) > first:
+            self._learn(list(islice(self.chunks, first, None)))
+        doc, code = np.repeat(np.arange(len(texts)), n_codes), np.concatenate([np.zeros(0, dtype=np.int64), *codes])
+        score = np.stack([np.bincount(doc, self.sums[code, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1)
+        words = np.bincount(doc, self.sizes[code], minlength=len(texts))
         out = []
         for own, n in zip(score, words.tolist()):
             if not n:

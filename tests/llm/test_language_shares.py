@@ -1,7 +1,10 @@
+import sys
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from helioquery.llm.langid import Pieces, fit, forward, identify, split_words
+from helioquery.llm import langid
+from helioquery.llm.langid import LanguageModel, Pieces, fit, forward, identify, split_words
 
 
 def test_a_small_language_keeps_its_words_beside_large_ones(spark):
@@ -74,3 +77,25 @@ def test_fit_and_identify_equal_brute_force(spark):
         best = int(np.argmax(logs))
         share = 1 / (1 + np.exp((min(logs) - max(logs)) * min(1, 10 / len(own)))) if own else 0
         assert r["lang_pred"] == ("uv"[best] if own else "und") and abs(r["score"] - share) < 1e-9
+
+
+def test_letters_are_found_by_a_table_and_chunks_once(monkeypatch):
+    odd = ["İx½y_z٣Ⅷ", "été,été", "a.b", "ǅ𝒜1𐐀", "ª²", "x́y", "漢字", "", "__", "Straße"]
+    for chunk in odd:
+        low = chunk.lower()
+        assert split_words(chunk) == ["▁" + w for w in "".join(c if c.isalpha() else " " for c in low).split(" ") if w]
+    for n in range(0, sys.maxunicode + 1, 7):
+        assert split_words("a" + chr(n) + ".") == ["▁" + w for w in "".join(c if c.isalpha() else " " for c in ("a" + chr(n) + ".").lower()).split(" ") if w]
+    pieces = ["▁", "▁a", "a", "b", "é"]
+    p = np.random.default_rng(0).random((6, 2))
+    texts = ["aab b, aab", "b é aab", None, "12 aab", "aab b, aab"]
+    asked: list[str] = []
+    monkeypatch.setattr(langid, "split_words", lambda chunk: asked.append(chunk) or split_words(chunk))
+    model = LanguageModel(Pieces(pieces), ["u", "v"], p)
+    got = model.predict(texts) + model.predict(texts)
+    assert len(asked) == len(set(asked)) == 5  # a chunk that a worker has met before, in another group too, is not split again
+    monkeypatch.setattr(langid, "KNOWN", 0)  # forgets before each group
+    model = LanguageModel(Pieces(pieces), ["u", "v"], p)
+    assert [x for t in texts * 2 for x in model.predict([t])] == got
+    logs = np.log([[total(w, pieces, dict(zip([*pieces, None], p[:, k]))) for k in range(2)] for w in ("▁aab", "▁b", "▁aab")]).sum(axis=0)
+    assert got[0][0] == "uv"[int(np.argmax(logs))] and np.isclose(got[0][1], 1 / (1 + np.exp(-abs(logs[0] - logs[1]))))
