@@ -102,7 +102,8 @@ def verified(pairs: DataFrame, sets_of: DataFrame, docs: DataFrame, text_col: st
     :param sets_of: (h, n, sketch, mark: that of one row) of each set, a written table.
     """
     over, under = SIMILAR
-    pairs = pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).where("src <> dst").distinct()
+    # written first: the driver plans anew after each stage, and a plan of half the stages is half the work each time
+    pairs = durable(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).where("src <> dst").distinct())
     ends = [sets_of.select(F.col("h").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("s_" + x)) for x in ("src", "dst")]
     sized = F.least("n_src", "n_dst") * under >= F.greatest("n_src", "n_dst") * over  # so sketches differ in size by one fold at most
     close = differing_bits(F.col("s_src"), F.col("s_dst")) * (over + under) <= (F.col("n_src") + F.col("n_dst")) * (under - over)

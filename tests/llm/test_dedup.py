@@ -2,6 +2,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+from helioquery.llm import components
 from helioquery.llm.components import connected_components
 from helioquery.llm.simhash import drop_near_copies, fingerprint, simhash_components
 from helioquery.llm.simhash import close_links
@@ -114,3 +115,25 @@ def test_simhash_counts_the_top_bit(spark):
     fps = [(int(np.uint64(x).astype(np.int64)),) for x in marks]
     got = [tuple(sorted(r)) for r in close_links(spark.createDataFrame(fps, "fp long")).collect()]
     assert set(got) == {tuple(sorted((fps[0][0], fps[1][0])))}
+
+
+def test_components_of_one_task_equal_those_of_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    nodes = rng.integers(-(1 << 62), 1 << 62, 400)
+    links = [(int(a), int(b)) for a, b in nodes[rng.integers(0, 400, (220, 2))]]
+    links += [(9 * k, 9 * k + 9) for k in range(60)] + [(7, 7), (None, 4)] + links[:20]
+    up = {x: x for x in sorted({x for a, b in links if a is not None and a != b for x in (a, b)})}
+    while any(up[a] != up[b] for a, b in links if a in up and b in up):
+        for a, b in links:
+            if a in up and b in up:
+                up[a] = up[b] = min(up[a], up[b])
+    frame = spark.createDataFrame(links, "src long, dst long").repartition(5)
+    jobs = spark.sparkContext.statusTracker()
+    took = {}
+    for most in (components.ONE_TASK, 0):
+        monkeypatch.setattr(components, "ONE_TASK", most)
+        spark.sparkContext.setJobGroup(f"components {most}", "")
+        assert {r["node"]: r["root"] for r in components.connected_components(frame).collect()} == up
+        took[most] = len(jobs.getJobIdsForGroup(f"components {most}"))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert max(took.values()) > 2 * min(took.values())  # the driver plans no rounds for few links
